@@ -105,10 +105,15 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     np.logical_not(_SPACE[raw], out=word[1:-1], casting="unsafe")
     edge = np.diff(word)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return span_hashes(raw, starts, ends), starts
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans ``raw[start:end]``."""
     up, down = _power_tables(len(raw) + 1)
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
+    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 _STEP = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]

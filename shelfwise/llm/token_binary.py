@@ -14,7 +14,9 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, new_path
+from .common import buckets_for, new_path, span_hashes
 
 MAGIC = b"SWIDS001"
 BLOCK_IDS = 4096
@@ -31,7 +33,7 @@ END_ID = 2
 #: Texts of the input in one file, as stored.
 FILE_BYTES = 32 << 20
 #: Remembered segments of a worker; bounds its memory, not what is encoded.
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 800_000
 
 
 def default_tokenizer() -> str:
@@ -79,12 +81,12 @@ class IdWriter:
         self.nulls: list[int] = []
         self.counts: list[int] = []
 
-    def add(self, doc_ids: list, per_doc: list[np.ndarray]) -> None:
-        for doc_id, ids in zip(doc_ids, per_doc):
-            self.docs.append(0 if doc_id is None else doc_id)
-            self.nulls.append(doc_id is None)
-            self.counts.append(len(ids))
-        ids = np.concatenate([self.rest, *per_doc])
+    def add(self, doc_ids: list, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Documents with their ids end to end and how many each has."""
+        self.docs += [0 if d is None else d for d in doc_ids]
+        self.nulls += [d is None for d in doc_ids]
+        self.counts += counts.tolist()
+        ids = np.concatenate([self.rest, ids])
         whole = len(ids) // BLOCK_IDS * BLOCK_IDS
         for i in range(0, whole, BLOCK_IDS):
             self._block(ids[i : i + BLOCK_IDS])
@@ -149,15 +151,24 @@ class IdReader:
         self.file.close()
 
 
-_HARD = re.compile(r" (?=\s)| $")
-_CUT = re.compile(r" (?=\S)")
+# first bytes of UTF-8 characters that are or may be white space; no cut is made before them
+_STAYS = np.zeros(256, dtype=bool)
+_STAYS[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b",.;:")] = True
+_SOLID = np.arange(256) < 0x7F
+_SOLID &= ~_STAYS & (np.arange(256) > 0x20)
 
 
 class SegmentEncoder:
     """Encodes texts by segments, each remembered once the tokenizers library has encoded it.
 
     A byte-level tokenizer never joins what stands before a space with a space that a
-    non-space character follows, so a text may be cut there and the parts' ids joined.
+    non-space character follows, nor a letter with a comma, full stop, colon or semicolon, so a
+    text may be cut there and the parts' ids joined. Equal
+    segments of a call are found by 64-bit hashes of their bytes, remembered ones by the bytes.
     """
 
     def __init__(self, path: str):
@@ -166,34 +177,58 @@ class SegmentEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = bits_for(self.tokenizer.get_vocab_size())
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit integers, without special tokens added."""
-        known, cut, new = self.known, [], {}
-        for text in texts:
-            parts = text.split(" ") if not _HARD.search(text) else _CUT.split(text)
-            # a first part has no space before it
-            parts[0] = "\0" + parts[0]
-            cut.append(parts)
-            for p in parts:
-                if p not in known:
-                    new[p] = None
+        self.known: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all UTF-8 texts end to end, without special tokens added, and how many each has."""
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        data = b"".join(texts)
+        if not data:
+            return np.empty(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        raw = np.frombuffer(data, dtype=np.uint8)
+        begins = np.cumsum(size) - size
+        cut = np.zeros(len(raw) + 1, dtype=bool)
+        cut[: len(raw) - 1] = (raw[:-1] == 0x20) & ~_STAYS[raw[1:]]
+        # a letter never joins these marks, nor one line feed the letter after it
+        letter = _LETTER[raw]
+        letter[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        cut[1 : len(raw)] |= letter[:-1] & _MARK[raw[1:]]
+        cut[2 : len(raw)] |= (raw[1:-1] == 0x0A) & _SOLID[raw[:-2]] & _LETTER[raw[2:]]
+        # a text's last character is never followed by one of its own
+        cut[(begins + size - 1)[size > 0]] = False
+        cut[begins] = True
+        cut[len(raw)] = True
+        edges = np.flatnonzero(cut)
+        starts, ends = edges[:-1], edges[1:]
+        named, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        parts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        known = self.known
+        new = [p for p in parts if p not in known]
         if new:
-            asked = [p[1:] if p[:1] == "\0" else " " + p for p in new]
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
-                new[p] = np.array(e.ids, dtype="<u4").tobytes()
-        look = {**known, **new} if len(new) > len(known) else None
-        out = []
-        for parts in cut:
-            if look is not None:
-                data = b"".join([look[p] for p in parts])
-            else:
-                data = b"".join([known[p] if p in known else new[p] for p in parts])
-            out.append(np.frombuffer(data, dtype="<u4"))
-        if len(known) < CACHE_SEGMENTS:
-            known.update((p, b) for p, b in new.items() if len(p) < 40)
-        return out
+            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+            known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, encoded))
+        ids = list(map(known.__getitem__, parts))
+        for p in new[max(0, CACHE_SEGMENTS - len(known) + len(new)) :]:
+            del known[p]
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
+        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        at, n = (np.cumsum(length) - length)[which], length[which]
+        done = np.cumsum(n)
+        out = flat[np.repeat(at - done + n, n) + np.arange(done[-1])]
+        upto = np.concatenate([[0], done])
+        bounds = upto[np.searchsorted(starts, np.concatenate([begins, [len(raw)]]))]
+        return out, np.diff(bounds)
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> SegmentEncoder:
+    """One encoder for all tasks of a worker."""
+    return SegmentEncoder(path)
+
+
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's ids with ``end_id`` after them."""
+    return np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32), counts + 1
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -217,17 +252,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             if not ids:
                 continue
             if writer is None:
-                encoder = SegmentEncoder(tokenizer)
+                encoder = encoder_of(tokenizer)
                 writer = IdWriter(fs.open_output_stream(scratch), encoder.width)
-            end = np.array([end_id], dtype=np.uint32)
             at = 0
             while at < len(ids):
                 some, size = [], 0
                 while at + len(some) < len(ids) and size < 1 << 21:
-                    some.append(texts[at + len(some)].as_py() or "")
+                    some.append(texts[at + len(some)].as_buffer() or b"")
                     size += len(some[-1])
-                encoded = [np.concatenate([x, end]) for x in encoder.encode(some)]
-                writer.add(ids[at : at + len(some)], encoded)
+                writer.add(ids[at : at + len(some)], *with_end(*encoder.encode(some), end_id))
                 at += len(some)
         if writer is not None:
             n_docs, n_ids = writer.close()
@@ -235,7 +268,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     rows = (
-        docs.select("doc_id", "text")
+        docs.select("doc_id", F.col("text").cast("binary").alias("text"))
         .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
         .mapInArrow(run, "part long, n_docs long, n_ids long")
