@@ -10,12 +10,15 @@ byte pieces. Decoding joins the pieces' bytes.
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +29,7 @@ from pyspark.sql import types as T
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Remembered words of a worker; bounds its memory, not what is encoded.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
 
@@ -74,7 +77,7 @@ class PieceModel:
     scores: dict[str, tuple[float, int]] = field(default_factory=dict)
     byte_ids: list[int] = field(default_factory=lambda: [0] * 256)
     prefix: bool = True
-    longest: int = 1
+    trie: dict = field(default_factory=dict)
     unknown: float = 0.0
 
     @classmethod
@@ -99,28 +102,40 @@ class PieceModel:
                 m.prefix = bool(dict(_fields(value)).get(3, 1))
         if any(MARK in p.lstrip(MARK) for p in m.scores):
             raise ValueError("a piece crosses the start of a word; words can't be encoded one by one")
-        m.longest = max(map(len, m.scores), default=1)
+        for piece, (score, number) in m.scores.items():
+            node = m.trie
+            for c in piece[:-1]:
+                node = node.setdefault(c, [{}, 0.0, -1])[0]
+            last = node.setdefault(piece[-1], [{}, 0.0, -1])
+            last[1:] = score, number
         m.unknown = min((s for s, _ in m.scores.values()), default=0.0) - UNKNOWN_PENALTY
         return m
 
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
+    def encode_words(self, words) -> dict[str, list[int]]:
         """Ids of each distinct word, visiting the words' trie depth first."""
-        scores, longest, unknown = self.scores, self.longest, self.unknown
-        best, back = [0.0], [(0, -1)]
+        root, unknown = self.trie, self.unknown
+        # for each prefix length: best score, best last piece, and open piece starts in the pieces' trie
+        best, back, opened = [0.0], [(0, -1)], [[(0.0, 0, root)]]
         before, out = "", {}
         for word in sorted(set(words)):
             shared = len(os.path.commonprefix((before, word)))
-            del best[shared + 1 :], back[shared + 1 :]
+            del best[shared + 1 :], back[shared + 1 :], opened[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                top, link = -float("inf"), (end - 1, -1)
-                for start in range(max(0, end - longest), end):
-                    found = scores.get(word[start:end])
-                    if found is not None and best[start] + found[0] > top:
-                        top, link = best[start] + found[0], (start, found[1])
-                if word[end - 1] not in scores and best[end - 1] + unknown > top:
+                c = word[end - 1]
+                top, link, still = -math.inf, (end - 1, -1), []
+                for score, start, node in opened[end - 1]:
+                    found = node.get(c)
+                    if found is not None:
+                        if found[2] >= 0 and score + found[1] > top:
+                            top, link = score + found[1], (start, found[2])
+                        if found[0]:
+                            still.append((score, start, found[0]))
+                if (c not in root or root[c][2] < 0) and best[end - 1] + unknown > top:
                     top, link = best[end - 1] + unknown, (end - 1, -1)
+                still.append((top, end, root))
                 best.append(top)
                 back.append(link)
+                opened.append(still)
             ids, end = [], len(word)
             while end:
                 start, piece = back[end]
@@ -155,27 +170,27 @@ class PieceModel:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> CachingEncoder:
+    """One encoder for all tasks of a worker."""
+    return CachingEncoder(PieceModel.load(path))
+
+
 class CachingEncoder:
     def __init__(self, model: PieceModel):
         self.model = model
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
+        known, asked = self.known, set()
         cut = [self.model.marked(t) for t in texts]
-        missing = {w for words in cut for w in words if w not in known}
-        new = {w: np.array(ids, dtype="<i4").tobytes() for w, ids in self.model.encode_words(list(missing)).items()}
-        room = CACHE_WORDS - len(known)
-        if room >= len(new):
-            known.update(new)
-            new = {}
-        out = []
         for words in cut:
-            parts = [known[w] for w in words] if not new else [known[w] if w in known else new[w] for w in words]
-            out.append(np.frombuffer(b"".join(parts), dtype="<i4"))
-        for w in list(new)[: max(0, room)]:
-            if len(w) < 40:
-                known[w] = new[w]
+            asked.update(words)
+        new = self.model.encode_words(asked.difference(known))
+        known.update((w, array("i", ids).tobytes()) for w, ids in new.items())
+        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=np.int32) for words in cut]
+        for w in list(new)[max(0, CACHE_WORDS - len(known) + len(new)) :]:
+            del known[w]
         return out
 
 
@@ -190,7 +205,7 @@ def encode(docs: DataFrame, model: str | None = None, text_col: str = "text", co
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachingEncoder(PieceModel.load(path))
+        encoder = encoder_of(path)
         for batch in batches:
             texts = batch.column(names.index(text_col))
             at = 0
