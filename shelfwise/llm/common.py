@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,12 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps now, not when the driver's heap fills."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Input size that the optimizer knows from file listings; no scan is run."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -119,7 +126,7 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 _STEP = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-def shingle_sets(texts: pa.Array, width: int = 5, chunk_bytes: int = 1 << 21):
+def shingle_sets(texts: pa.Array, width: int = 5, chunk_bytes: int = 1 << 20):
     """Yield for every text the sorted distinct 64-bit hashes of its ``width``-word shingles.
 
     A text of fewer words is one shingle made of its whole word sequence; a null text or one

@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, discard, materialize, mix64, shingle_sets
+from .common import buckets_for, discard, materialize, mix64, release, shingle_sets
 
 WIDTH = 5
 #: Stored bytes of the input whose signatures share one bucket.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Counts of a class-count vector.
 SKETCH = 64
 #: Sets of a region that are compared directly; above it the region is split by pivots.
@@ -115,7 +115,7 @@ def signatures(hashes: np.ndarray, size: np.ndarray, radius: Radius) -> tuple[np
     return np.concatenate(keys), np.concatenate(whose)
 
 
-def _chunks(texts: pa.Array, limit: int = 1 << 19):
+def _chunks(texts: pa.Array, limit: int = 1 << 18):
     """Lists of (row, set), some ``limit`` shingles each."""
     some, total = [], 0
     for i, s in enumerate(shingle_sets(texts, WIDTH)):
@@ -129,7 +129,7 @@ def _chunks(texts: pa.Array, limit: int = 1 << 19):
 
 
 _PACKED = "bucket int, keys binary, local binary, sets binary, docs binary"
-_INFO = np.dtype([("doc", "<i8"), ("gone", "?"), ("text", "<i8"), ("n", "<i8"), ("set", "<i8")])
+_INFO = np.dtype([("doc", "<i8"), ("gone", "?"), ("text", "<i8"), ("n", "<i8"), ("set", "<i8"), ("sketch", "<u2", (SKETCH,))])
 
 
 def _emit(buckets: int, radius: Radius):
@@ -156,6 +156,7 @@ def _emit(buckets: int, radius: Radius):
                     flat = np.concatenate([some[i][1] for i in full])
                     sids = set_ids(flat, np.concatenate([[0], np.cumsum(size[full])[:-1]]))
                     facts["set"][full] = sids
+                    facts["sketch"][full] = sketches(flat, size[full])
                     new = []
                     for i, s in zip(full.tolist(), sids.tolist()):
                         if s not in seen:
@@ -227,19 +228,22 @@ def _gather(rows: pd.DataFrame) -> pd.DataFrame:
         "text_hash": pd.array([None] * n + facts["text"].tolist(), dtype="Int64"),
         "n_shingles": pd.array([None] * n + facts["n"].tolist(), dtype="Int64"),
         "set_id": pd.array([None] * n + [s if k else None for s, k in zip(facts["set"].tolist(), facts["n"].tolist())], dtype="Int64"),
+        "sketch": [None] * n + [x.tobytes() for x in facts["sketch"]],
     })
 
 
-_GATHERED = "region long, members array<long>, doc_id long, text_hash long, n_shingles long, set_id long"
+_GATHERED = "region long, members array<long>, doc_id long, text_hash long, n_shingles long, set_id long, sketch binary"
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes fall into each of ``SKETCH`` classes, at most 65535."""
-    return np.minimum(np.bincount((mix64(hashes) >> np.uint64(58)).astype(np.int64), minlength=SKETCH), 65535).astype("<u2")
+def sketches(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How many hashes of each set fall into each of ``SKETCH`` classes, at most 65535."""
+    owner = np.repeat(np.arange(len(size)), size)
+    cls = (mix64(hashes) >> np.uint64(58)).astype(np.int64)
+    return np.minimum(np.bincount(owner * SKETCH + cls, minlength=len(size) * SKETCH), 65535).reshape(len(size), SKETCH)
 
 
 def _sets_of(texts: DataFrame) -> DataFrame:
-    """set_id, n, sketch and sorted hashes of the texts' sets."""
+    """set_id, n and sorted hashes of the texts' sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -253,13 +257,14 @@ def _sets_of(texts: DataFrame) -> DataFrame:
                     if sid not in seen:
                         if len(seen) < 1_000_000:
                             seen.add(sid)
-                        out.append((sid, len(s), sketch(s).tobytes(), s.view(np.int64)))
+                        out.append((sid, len(s), s.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.list_(pa.int64()))],
-                    names=["set_id", "n", "sketch", "hashes"],
+                    [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int64()))],
+                    names=["set_id", "n", "hashes"],
                 )
 
-    return texts.mapInArrow(run, "set_id long, n long, sketch binary, hashes array<long>")
+    made = texts.mapInArrow(run, "set_id long, n long, hashes array<long>")
+    return made.groupBy("set_id").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
 
 
 def _near(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, radius: Radius) -> np.ndarray:
@@ -272,9 +277,9 @@ def _near(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
     return out
 
 
-def region_pairs(sizes: np.ndarray, labels: np.ndarray, sketches: np.ndarray, radius: Radius) -> np.ndarray:
+def region_pairs(sizes: np.ndarray, labels: np.ndarray, counts: np.ndarray, radius: Radius) -> np.ndarray:
     """Index pairs (i < j) of unlike label that may link, by recursive Voronoi cells."""
-    points = sketches.astype(np.int32)
+    points = counts.astype(np.int32)
     reach = radius.differ(sizes, radius.largest(sizes))
     found: list[np.ndarray] = []
 
@@ -375,38 +380,50 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     gathered = materialize(
         rows.mapInArrow(_emit(buckets_for(docs, BUCKET_BYTES), radius), _PACKED).groupBy("bucket").applyInPandas(_gather, _GATHERED), "regions"
     )
+    release(docs.sparkSession)
     facts = gathered.where("region IS NULL").select("doc_id", "text_hash", "n_shingles", "set_id")
     regions = materialize(gathered.where("region IS NOT NULL").groupBy("region").agg(F.first("members").alias("members")), "members")
-
-    # sets of every set that shares a region, from one text each
-    wanted = regions.select(F.explode("members").alias("set_id")).distinct()
-    texts = facts.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("text_hash").alias("text_hash")).join(wanted, "set_id").select("text_hash")
-    source = rows.select("text", "text_hash").join(texts, "text_hash", "left_semi").select("text")
-    made = _sets_of(source)
-    sets = materialize(made.groupBy("set_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes")), "sets")
-    sketches = sets.select("set_id", "n", "sketch")
+    each = gathered.where("set_id IS NOT NULL").groupBy("set_id").agg(
+        F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+    )
+    each = materialize(each.join(regions.select(F.explode("members").alias("set_id")).distinct(), "set_id"), "each")
+    counts = each.select("set_id", "n", "sketch")
+
+    def sets_in(pairs: DataFrame, but: DataFrame | None = None) -> DataFrame:
+        """Whole sets of the pairs' members, each from one text."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        if but is not None:
+            wanted = wanted.join(but.select("set_id"), "set_id", "left_anti")
+        texts = each.join(wanted, "set_id").select("text_hash")
+        made = materialize(_sets_of(rows.select("text", "text_hash").join(texts, "text_hash", "left_semi").select("text")), "sets")
+        release(docs.sparkSession)
+        return made
 
     # pivots: the first member of each region against the others
     stars = regions.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members") - 1)).alias("b")).distinct()
-    stars = _screen(stars, sketches, radius)
+    stars = materialize(_screen(stars, counts, radius), "stars")
+    sets = sets_in(stars)
     links = materialize(measured(stars, sets, percent).select("a", "b"), "links")
     first = materialize(components(links), "labels")
 
     # regions that still hold several components
-    member = regions.select("region", F.posexplode("members").alias("at", "set_id")).join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
+    member = regions.select("region", F.explode("members").alias("set_id")).join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
     member = member.withColumn("label", F.coalesce("label", "set_id"))
     mixed = member.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
-    crowd = member.join(mixed, "region").join(sketches, "set_id")
+    crowd = member.join(mixed, "region").join(counts, "set_id")
 
     def pairs_of(region: pd.DataFrame) -> pd.DataFrame:
         region = region.sort_values("set_id", ignore_index=True)
-        counts = np.frombuffer(b"".join(region["sketch"]), dtype="<u2").reshape(len(region), SKETCH)
-        found = region_pairs(region["n"].to_numpy(), region["label"].to_numpy(), counts, radius)
+        points = np.frombuffer(b"".join(region["sketch"]), dtype="<u2").reshape(len(region), SKETCH)
+        found = region_pairs(region["n"].to_numpy(), region["label"].to_numpy(), points, radius)
         ids = region["set_id"].to_numpy()
         return pd.DataFrame({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
 
     pairs = crowd.select("region", "set_id", "n", "label", "sketch").groupBy("region").applyInPandas(pairs_of, "a long, b long").distinct()
-    across = materialize(measured(materialize(pairs, "pairs"), sets, percent).select("a", "b"), "across")
+    # a pair with a pivot has been measured
+    pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
+    sets = sets.unionByName(sets_in(pairs, sets))
+    across = materialize(measured(pairs, sets, percent).select("a", "b"), "across")
     lift = first.select("node", "label")
     joined = across.join(lift.toDF("a", "la"), "a", "left").join(lift.toDF("b", "lb"), "b", "left")
     second = components(joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
@@ -419,9 +436,9 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     return named.join(least, "label", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
-def _screen(pairs: DataFrame, sketches: DataFrame, radius: Radius) -> DataFrame:
+def _screen(pairs: DataFrame, counts: DataFrame, radius: Radius) -> DataFrame:
     """Pairs whose sizes and class counts leave a link open."""
-    both = pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b")
+    both = pairs.join(counts.toDF("a", "na", "sa"), "a").join(counts.toDF("b", "nb", "sb"), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
