@@ -9,7 +9,7 @@ Jaccard(x, y) >= t means that the symmetric difference of the sets, a metric, is
    Sets that differ in size are compared on levels whose bounds grow by 1 / t; a set enters its
    own level and the one below. Sets with too few classes also enter one region for each of
    their first D + 1 shingles. Linked sets always meet in a region.
-2. Pivots. The first set of a region is its pivot; every other is measured against it, and what
+2. Pivots. A few sets of each region are pivots; every other is measured against them, and what
    links with a pivot needs no comparison with others that do.
 3. Recursion. Regions that still hold several components are joined on class-count vectors,
    whose L1 distance never exceeds the symmetric difference: pivots create Voronoi cells, a set
@@ -41,6 +41,10 @@ BUCKET_BYTES = 4 << 20
 SKETCH = 64
 #: Sets of a region that are compared directly; above it the region is split by pivots.
 LEAF, PIVOTS = 256, 12
+#: Pivots of a region that all its sets are measured against before the recursive join.
+STARS = 6
+#: Regions of one group of the recursive join, on average.
+GROUP_REGIONS = 64
 
 
 class Radius:
@@ -399,8 +403,14 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         release(docs.sparkSession)
         return made
 
-    # pivots: the first member of each region against the others
-    stars = regions.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members") - 1)).alias("b")).distinct()
+    # pivots: some members of each region, evenly spaced in their (hashed) order, against all others
+    size = F.size("members")
+    picked = F.array_distinct(F.array(*[F.floor(size * j / STARS).cast("int") for j in range(STARS)]))
+    stars = (
+        regions.select("members", F.explode(F.transform(picked, lambda i: F.get("members", i))).alias("p"))
+        .select("p", F.explode("members").alias("m")).where("p <> m")
+        .select(F.least("p", "m").alias("a"), F.greatest("p", "m").alias("b")).distinct()
+    )
     stars = materialize(_screen(stars, counts, radius), "stars")
     sets = sets_in(stars)
     links = materialize(measured(stars, sets, percent).select("a", "b"), "links")
@@ -410,16 +420,23 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     member = regions.select("region", F.explode("members").alias("set_id")).join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
     member = member.withColumn("label", F.coalesce("label", "set_id"))
     mixed = member.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
+    mixed = materialize(mixed, "mixed")
     crowd = member.join(mixed, "region").join(counts, "set_id")
 
-    def pairs_of(region: pd.DataFrame) -> pd.DataFrame:
-        region = region.sort_values("set_id", ignore_index=True)
-        points = np.frombuffer(b"".join(region["sketch"]), dtype="<u2").reshape(len(region), SKETCH)
-        found = region_pairs(region["n"].to_numpy(), region["label"].to_numpy(), points, radius)
-        ids = region["set_id"].to_numpy()
-        return pd.DataFrame({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
-
-    pairs = crowd.select("region", "set_id", "n", "label", "sketch").groupBy("region").applyInPandas(pairs_of, "a long, b long").distinct()
+    def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["region", "set_id"], ignore_index=True)
+        region, ids = group["region"].to_numpy(), group["set_id"].to_numpy()
+        n, label = group["n"].to_numpy(), group["label"].to_numpy()
+        points = np.frombuffer(b"".join(group["sketch"]), dtype="<u2").reshape(len(group), SKETCH)
+        cut = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for i, j in zip(cut, cut[1:]):
+            found.append(ids[i + region_pairs(n[i:j], label[i:j], points[i:j], radius)])
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    groups = max(1, mixed.count() // GROUP_REGIONS)
+    dealt = crowd.select(F.pmod(F.xxhash64("region"), F.lit(groups)).alias("part"), "region", "set_id", "n", "label", "sketch")
+    pairs = dealt.groupBy("part").applyInPandas(pairs_of, "a long, b long").distinct()
     # a pair with a pivot has been measured
     pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     sets = sets.unionByName(sets_in(pairs, sets))
