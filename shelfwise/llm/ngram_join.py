@@ -43,6 +43,8 @@ SKETCH = 64
 LEAF, PIVOTS = 256, 12
 #: Pivots of a region that all its sets are measured against before the recursive join.
 STARS = 6
+#: Which of them are measured together; pairs that earlier links have joined are passed over.
+STAR_TURNS = ((0,), (1, 2), (3, 4, 5))
 #: Regions of one group of the recursive join, on average.
 GROUP_REGIONS = 64
 
@@ -250,25 +252,16 @@ def _sets_of(texts: DataFrame) -> DataFrame:
     """set_id, n and sorted hashes of the texts' sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             for some in _chunks(batch.column(0)):
-                out = []
-                for _, s in some:
-                    if not len(s):
-                        continue
-                    sid = int(set_ids(s, np.array([0]))[0])
-                    if sid not in seen:
-                        if len(seen) < 1_000_000:
-                            seen.add(sid)
-                        out.append((sid, len(s), s.view(np.int64)))
+                sets = [s for _, s in some if len(s)]
+                ids = [int(set_ids(s, np.array([0]))[0]) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int64()))],
+                    [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                     names=["set_id", "n", "hashes"],
                 )
 
-    made = texts.mapInArrow(run, "set_id long, n long, hashes array<long>")
-    return made.groupBy("set_id").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
+    return texts.mapInArrow(run, "set_id long, n long, hashes array<long>")
 
 
 def _near(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, radius: Radius) -> np.ndarray:
@@ -399,7 +392,9 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         if but is not None:
             wanted = wanted.join(but.select("set_id"), "set_id", "left_anti")
         texts = each.join(wanted, "set_id").select("text_hash")
-        made = materialize(_sets_of(rows.select("text", "text_hash").join(texts, "text_hash", "left_semi").select("text")), "sets")
+        # copies are dropped before they are shuffled, so a hot text reaches a task once from each other
+        once = rows.select("text", "text_hash").dropDuplicates(["text_hash"])
+        made = materialize(_sets_of(once.join(texts, "text_hash", "left_semi").select("text")), "sets")
         release(docs.sparkSession)
         return made
 
@@ -407,14 +402,22 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     size = F.size("members")
     picked = F.array_distinct(F.array(*[F.floor(size * j / STARS).cast("int") for j in range(STARS)]))
     stars = (
-        regions.select("members", F.explode(F.transform(picked, lambda i: F.get("members", i))).alias("p"))
-        .select("p", F.explode("members").alias("m")).where("p <> m")
-        .select(F.least("p", "m").alias("a"), F.greatest("p", "m").alias("b")).distinct()
+        regions.select("members", F.posexplode(F.transform(picked, lambda i: F.get("members", i))).alias("turn", "p"))
+        .select("turn", "p", F.explode("members").alias("m")).where("p <> m")
+        .groupBy(F.least("p", "m").alias("a"), F.greatest("p", "m").alias("b")).agg(F.min("turn").alias("turn"))
     )
     stars = materialize(_screen(stars, counts, radius), "stars")
     sets = sets_in(stars)
-    links = materialize(measured(stars, sets, percent).select("a", "b"), "links")
-    first = materialize(components(links), "labels")
+    links = first = None
+    for turns in STAR_TURNS:
+        now = stars.where(F.col("turn").isin(*turns)).select("a", "b")
+        if first is not None:
+            now = now.join(first.toDF("a", "la"), "a", "left").join(first.toDF("b", "lb"), "b", "left")
+            now = now.where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")
+        found = materialize(measured(now, sets, percent).select("a", "b"), "links")
+        links = found if links is None else links.unionByName(found)
+        first = materialize(components(links), "labels")
+        release(docs.sparkSession)
 
     # regions that still hold several components
     member = regions.select("region", F.explode("members").alias("set_id")).join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -438,16 +441,12 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     dealt = crowd.select(F.pmod(F.xxhash64("region"), F.lit(groups)).alias("part"), "region", "set_id", "n", "label", "sketch")
     pairs = dealt.groupBy("part").applyInPandas(pairs_of, "a long, b long").distinct()
     # a pair with a pivot has been measured
-    pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
+    pairs = materialize(pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     sets = sets.unionByName(sets_in(pairs, sets))
-    across = materialize(measured(pairs, sets, percent).select("a", "b"), "across")
-    lift = first.select("node", "label")
-    joined = across.join(lift.toDF("a", "la"), "a", "left").join(lift.toDF("b", "lb"), "b", "left")
-    second = components(joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    second = materialize(second, "labels")
+    links = links.unionByName(materialize(measured(pairs, sets, percent).select("a", "b"), "links"))
+    first = materialize(components(links), "labels")
 
     named = facts.join(first.toDF("set_id", "label"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    named = named.join(second.toDF("label", "top"), "label", "left").withColumn("label", F.coalesce("top", "label"))
     named = materialize(named.select("doc_id", "n_shingles", "label"), "named")
     least = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(least, "label", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
@@ -464,9 +463,9 @@ def _screen(pairs: DataFrame, counts: DataFrame, radius: Radius) -> DataFrame:
             a = np.frombuffer(b"".join(p["sa"]), dtype="<u2").reshape(len(p), SKETCH).astype(np.int32)
             b = np.frombuffer(b"".join(p["sb"]), dtype="<u2").reshape(len(p), SKETCH).astype(np.int32)
             near = np.abs(a - b).sum(axis=1) <= radius.differ(p["na"].to_numpy(), p["nb"].to_numpy())
-            yield p.loc[near, ["a", "b"]]
+            yield p.loc[near, ["a", "b", "turn"]]
 
-    return both.mapInPandas(run, "a long, b long")
+    return both.mapInPandas(run, "a long, b long, turn int")
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
