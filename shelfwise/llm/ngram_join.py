@@ -38,7 +38,7 @@ WIDTH = 5
 #: Stored bytes of the input whose signatures share one bucket.
 BUCKET_BYTES = 4 << 20
 #: Counts of a class-count vector.
-SKETCH = 64
+SKETCH = 256
 #: Sets of a region that are compared directly; above it the region is split by pivots.
 LEAF, PIVOTS = 256, 12
 #: Pivots of a region that all its sets are measured against before the recursive join.
@@ -135,7 +135,7 @@ def _chunks(texts: pa.Array, limit: int = 1 << 18):
 
 
 _PACKED = "bucket int, keys binary, local binary, sets binary, docs binary"
-_INFO = np.dtype([("doc", "<i8"), ("gone", "?"), ("text", "<i8"), ("n", "<i8"), ("set", "<i8"), ("sketch", "<u2", (SKETCH,))])
+_INFO = np.dtype([("doc", "<i8"), ("gone", "?"), ("text", "<i8"), ("n", "<i8"), ("set", "<i8"), ("sketch", "u1", (SKETCH,))])
 
 
 def _emit(buckets: int, radius: Radius):
@@ -242,10 +242,10 @@ _GATHERED = "region long, members array<long>, doc_id long, text_hash long, n_sh
 
 
 def sketches(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """How many hashes of each set fall into each of ``SKETCH`` classes, at most 65535."""
+    """How many hashes of each set fall into each of ``SKETCH`` classes, at most 255."""
     owner = np.repeat(np.arange(len(size)), size)
-    cls = (mix64(hashes) >> np.uint64(58)).astype(np.int64)
-    return np.minimum(np.bincount(owner * SKETCH + cls, minlength=len(size) * SKETCH), 65535).reshape(len(size), SKETCH)
+    cls = (mix64(hashes) >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(owner * SKETCH + cls, minlength=len(size) * SKETCH), 255).reshape(len(size), SKETCH)
 
 
 def _sets_of(texts: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def _near(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
 
 def region_pairs(sizes: np.ndarray, labels: np.ndarray, counts: np.ndarray, radius: Radius) -> np.ndarray:
     """Index pairs (i < j) of unlike label that may link, by recursive Voronoi cells."""
-    points = counts.astype(np.int32)
+    points = counts.astype(np.int16)
     reach = radius.differ(sizes, radius.largest(sizes))
     found: list[np.ndarray] = []
 
@@ -398,11 +398,10 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         release(docs.sparkSession)
         return made
 
-    # pivots: some members of each region, evenly spaced in their (hashed) order, against all others
-    size = F.size("members")
-    picked = F.array_distinct(F.array(*[F.floor(size * j / STARS).cast("int") for j in range(STARS)]))
+    # pivots: the first members of each region in their (hashed) order, against all others; regions
+    # of one cluster mostly share them
     stars = (
-        regions.select("members", F.posexplode(F.transform(picked, lambda i: F.get("members", i))).alias("turn", "p"))
+        regions.select("members", F.posexplode(F.slice("members", 1, STARS)).alias("turn", "p"))
         .select("turn", "p", F.explode("members").alias("m")).where("p <> m")
         .groupBy(F.least("p", "m").alias("a"), F.greatest("p", "m").alias("b")).agg(F.min("turn").alias("turn"))
     )
@@ -422,7 +421,8 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     # regions that still hold several components
     member = regions.select("region", F.explode("members").alias("set_id")).join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
     member = member.withColumn("label", F.coalesce("label", "set_id"))
-    mixed = member.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
+    mixed = member.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    mixed = mixed.where(f"low <> high AND size > {STARS}").select("region")
     mixed = materialize(mixed, "mixed")
     crowd = member.join(mixed, "region").join(counts, "set_id")
 
@@ -430,10 +430,11 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         group = group.sort_values(["region", "set_id"], ignore_index=True)
         region, ids = group["region"].to_numpy(), group["set_id"].to_numpy()
         n, label = group["n"].to_numpy(), group["label"].to_numpy()
-        points = np.frombuffer(b"".join(group["sketch"]), dtype="<u2").reshape(len(group), SKETCH)
+        points = np.frombuffer(b"".join(group["sketch"]), dtype="u1").reshape(len(group), SKETCH)
         cut = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
         found = [np.empty((0, 2), dtype=np.int64)]
         for i, j in zip(cut, cut[1:]):
+            i += STARS  # the pivots have been measured
             found.append(ids[i + region_pairs(n[i:j], label[i:j], points[i:j], radius)])
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
@@ -460,8 +461,8 @@ def _screen(pairs: DataFrame, counts: DataFrame, radius: Radius) -> DataFrame:
         for p in batches:
             if not len(p):
                 continue
-            a = np.frombuffer(b"".join(p["sa"]), dtype="<u2").reshape(len(p), SKETCH).astype(np.int32)
-            b = np.frombuffer(b"".join(p["sb"]), dtype="<u2").reshape(len(p), SKETCH).astype(np.int32)
+            a = np.frombuffer(b"".join(p["sa"]), dtype="u1").reshape(len(p), SKETCH).astype(np.int16)
+            b = np.frombuffer(b"".join(p["sb"]), dtype="u1").reshape(len(p), SKETCH).astype(np.int16)
             near = np.abs(a - b).sum(axis=1) <= radius.differ(p["na"].to_numpy(), p["nb"].to_numpy())
             yield p.loc[near, ["a", "b", "turn"]]
 
