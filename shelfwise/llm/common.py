@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,33 @@ def buckets_for(df: DataFrame, bytes_each: int) -> int:
     return max(least, min(1 << 20, plan_bytes(df) // bytes_each + 1))
 
 
+#: Cells of a key's hash; bounds the table that ``split_by_key`` broadcasts.
+KEY_CELLS = 1 << 18
+
+
+def split_by_key(df: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``column`` may be among ``keys``, and rows for which that is ruled out.
+
+    Only the hash cells that the keys fall into are broadcast, at most ``KEY_CELLS`` integers
+    whatever the input, so an exact join needs to shuffle the first part alone.
+    """
+    cells = materialize(keys.select(F.pmod(F.xxhash64(column), F.lit(KEY_CELLS)).cast("int").alias("_cell")).distinct(), "cells")
+    same = F.pmod(F.xxhash64(df[column]), F.lit(KEY_CELLS)).cast("int") == F.col("_cell")
+    return df.join(F.broadcast(cells), same, "left_semi"), df.join(F.broadcast(cells), same, "left_anti")
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024):
+    """Fewer rows in each Arrow batch while whole texts go to Python, unless the session asks for fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows)) if int(before) > 0 else str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, discard, materialize
+from .common import ascii_lower, discard, materialize, split_by_key
 
 BLOCK_CHARS = 4096
 
@@ -90,8 +90,10 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 def keep_exact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with the row that stays of each group of equal texts, all its columns unchanged."""
-    kept = exact_dedup(docs, text_col, id_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    named = docs.withColumn("_norm_sha", F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256))
-    found = named.join(kept, named[id_col].eqNullSafe(F.col("_id")) & (F.col("_norm_sha") == F.col("_sha")), "left_semi")
+    found = materialize(exact_dedup(docs, text_col, id_col).select("doc_id", "kept", "text_sha256"), "kept")
+    some, rest = split_by_key(docs, found.where("NOT kept").select(F.col("doc_id").alias(id_col)), id_col)
+    kept = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    named = some.withColumn("_norm_sha", F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256))
+    named = named.join(kept, named[id_col].eqNullSafe(F.col("_id")) & (F.col("_norm_sha") == F.col("_sha")), "left_semi")
     # rows that repeat id and text
-    return found.dropDuplicates([id_col, "_norm_sha"]).drop("_norm_sha")
+    return rest.unionByName(named.dropDuplicates([id_col, "_norm_sha"]).drop("_norm_sha"))

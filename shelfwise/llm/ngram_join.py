@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, discard, materialize, mix64, release, shingle_sets
+from .common import buckets_for, discard, materialize, mix64, release, shingle_sets, small_batches, split_by_key
 
 WIDTH = 5
 #: Stored bytes of the input whose signatures share one bucket.
@@ -372,6 +372,11 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     repeat an id stay separate rows. component_id is the smallest id of the component; null ids
     are passed over by it. Other columns are ignored; no rows in, none out.
     """
+    with small_batches(docs.sparkSession):
+        return _join(docs, percent)
+
+
+def _join(docs: DataFrame, percent: int) -> DataFrame:
     radius = Radius(percent)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     gathered = materialize(
@@ -393,7 +398,8 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
             wanted = wanted.join(but.select("set_id"), "set_id", "left_anti")
         texts = each.join(wanted, "set_id").select("text_hash")
         # copies are dropped before they are shuffled, so a hot text reaches a task once from each other
-        once = rows.select("text", "text_hash").dropDuplicates(["text_hash"])
+        some, _ = split_by_key(rows.select("text", "text_hash"), texts, "text_hash")
+        once = some.dropDuplicates(["text_hash"])
         made = materialize(_sets_of(once.join(texts, "text_hash", "left_semi").select("text")), "sets")
         release(docs.sparkSession)
         return made
@@ -476,4 +482,5 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     joined = materialize(ngram_join(docs, percent), "components")
     gone = joined.where("component_id IS NOT NULL AND doc_id > component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    some, rest = split_by_key(docs, gone, "doc_id")
+    return rest.unionByName(some.join(gone, "doc_id", "left_anti").select(*docs.columns))
