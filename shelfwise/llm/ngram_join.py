@@ -134,7 +134,7 @@ def _chunks(texts: pa.Array, limit: int = 1 << 18):
         yield some
 
 
-_PACKED = "bucket int, keys binary, local binary, sets binary, docs binary"
+_PACKED = "bucket int, keys binary, sets binary, docs binary"
 _INFO = np.dtype([("doc", "<i8"), ("gone", "?"), ("text", "<i8"), ("n", "<i8"), ("set", "<i8"), ("sketch", "u1", (SKETCH,))])
 
 
@@ -157,7 +157,7 @@ def _emit(buckets: int, radius: Radius):
                 facts = np.zeros(len(at), dtype=_INFO)
                 facts["doc"], facts["gone"], facts["text"], facts["n"] = number[at], gone[at], hashed[at], size
                 full = np.flatnonzero(size)
-                rows: dict[str, list] = {c: [] for c in ("bucket", "keys", "local", "sets", "docs")}
+                rows: dict[str, list] = {c: [] for c in ("bucket", "keys", "sets", "docs")}
                 if len(full):
                     flat = np.concatenate([some[i][1] for i in full])
                     sids = set_ids(flat, np.concatenate([[0], np.cumsum(size[full])[:-1]]))
@@ -177,18 +177,16 @@ def _emit(buckets: int, radius: Radius):
                         bucket, keys, whose = bucket[order], keys[order], whose[order]
                         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                         for a, b in zip(cut, [*cut[1:], len(bucket)]):
-                            mine, local = np.unique(whose[a:b], return_inverse=True)
                             rows["bucket"].append(int(bucket[a]))
                             rows["keys"].append(keys[a:b].tobytes())
-                            rows["local"].append(local.astype("<u4" if len(mine) > 65535 else "<u2").tobytes())
-                            rows["sets"].append(fresh[mine].tobytes())
+                            rows["sets"].append(fresh[whose[a:b]].tobytes())
                             rows["docs"].append(None)
                 rows["bucket"].append(int(mix64(np.array([facts["doc"][0] ^ len(at)]).view(np.uint64))[0] % np.uint64(buckets)))
-                for c in ("keys", "local", "sets"):
+                for c in ("keys", "sets"):
                     rows[c].append(None)
                 rows["docs"].append(facts.tobytes())
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(rows["bucket"], pa.int32()), **{c: pa.array(rows[c], pa.binary()) for c in ("keys", "local", "sets", "docs")}
+                    "bucket": pa.array(rows["bucket"], pa.int32()), **{c: pa.array(rows[c], pa.binary()) for c in ("keys", "sets", "docs")}
                 })
 
     return run
@@ -217,13 +215,12 @@ def shared_regions(keys: np.ndarray, sets: np.ndarray) -> list[tuple[int, np.nda
 
 def _gather(rows: pd.DataFrame) -> pd.DataFrame:
     keys, sets, facts = [], [], []
-    for k, local, s, d in zip(rows["keys"], rows["local"], rows["sets"], rows["docs"]):
+    for k, s, d in zip(rows["keys"], rows["sets"], rows["docs"]):
         if d is not None:
             facts.append(np.frombuffer(d, dtype=_INFO))
             continue
-        k, s = np.frombuffer(k, dtype=np.uint64), np.frombuffer(s, dtype=np.int64)
-        keys.append(k)
-        sets.append(s[np.frombuffer(local, dtype="<u4" if len(s) > 65535 else "<u2")])
+        keys.append(np.frombuffer(k, dtype=np.uint64))
+        sets.append(np.frombuffer(s, dtype=np.int64))
     found = shared_regions(np.concatenate(keys), np.concatenate(sets)) if keys else []
     facts = np.concatenate(facts) if facts else np.empty(0, dtype=_INFO)
     n = len(found)
@@ -328,6 +325,7 @@ def region_pairs(sizes: np.ndarray, labels: np.ndarray, counts: np.ndarray, radi
 
 def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, common, na, nb) of those ``pairs`` (a, b) that link, by whole sets."""
+    sets, _ = split_by_key(sets, pairs.select(F.explode(F.array("a", "b")).alias("set_id")), "set_id")
     left = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
     both = pairs.join(left, "a").join(right, "b")
