@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -83,16 +83,16 @@ def split_by_key(df: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame
     return df.join(F.broadcast(cells), same, "left_semi"), df.join(F.broadcast(cells), same, "left_anti")
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1024):
-    """Fewer rows in each Arrow batch while whole texts go to Python, unless the session asks for fewer."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), rows)) if int(before) > 0 else str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def bound_batches(spark: SparkSession, rows: int = 1024, size: int = 4 << 20) -> None:
+    """Have this session send whole texts to Python in small Arrow batches; smaller settings stay.
+
+    Ten thousand texts in a batch, the default, take hundreds of megabytes of an executor's memory.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key, None)
+        digits = re.match(r"\d+", now or "")
+        if now is not None and not (digits and digits[0] == now and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
 
 
 def ascii_lower(col):

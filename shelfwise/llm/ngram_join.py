@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, discard, materialize, mix64, release, shingle_sets, small_batches, split_by_key
+from .common import bound_batches, buckets_for, discard, materialize, mix64, release, shingle_sets, split_by_key
 
 WIDTH = 5
 #: Stored bytes of the input whose signatures share one bucket.
@@ -370,11 +370,7 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     repeat an id stay separate rows. component_id is the smallest id of the component; null ids
     are passed over by it. Other columns are ignored; no rows in, none out.
     """
-    with small_batches(docs.sparkSession):
-        return _join(docs, percent)
-
-
-def _join(docs: DataFrame, percent: int) -> DataFrame:
+    bound_batches(docs.sparkSession)
     radius = Radius(percent)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     gathered = materialize(

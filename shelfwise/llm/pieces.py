@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import bound_batches
+
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Remembered words of a worker; bounds its memory, not what is encoded.
@@ -200,6 +202,7 @@ def encode(docs: DataFrame, model: str | None = None, text_col: str = "text", co
     Whole texts are encoded; null and empty texts get an empty array. Every row is kept with its
     own columns; a column of the new name is replaced.
     """
+    bound_batches(docs.sparkSession)
     path = model or default_model()
     docs = docs.drop(column)
     names = docs.columns

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, new_path, span_hashes
+from .common import bound_batches, buckets_for, new_path, span_hashes
 
 MAGIC = b"SWIDS001"
 BLOCK_IDS = 4096
@@ -238,6 +238,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     doc_ids come first, equal doc_ids are ordered by text; each document ends with ``end_id``.
     Other columns are ignored. No rows in, no files out.
     """
+    bound_batches(docs.sparkSession)
     tokenizer = tokenizer or default_tokenizer()
     parts = buckets_for(docs, FILE_BYTES)
 

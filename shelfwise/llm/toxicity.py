@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import bound_batches, mix64
 
 FEATURES = 1 << 18
 ORDERS = (3, 4, 5)
@@ -135,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = FIT_ROWS_PER
     Rows with a null id, label or duplicated label rows of an id beyond the first are left out;
     null texts count as empty. The fit runs in one task on at most 2 * ``rows_per_class`` rows.
     """
+    bound_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     if training is not None:
         chosen = chosen.where(training)
@@ -171,6 +172,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column:
 
     Every row is kept with its own columns; a column of the new name is replaced.
     """
+    bound_batches(docs.sparkSession)
     features, weights, bias = model
     docs = docs.drop(column)
     names = docs.columns
