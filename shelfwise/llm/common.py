@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import re
 import tempfile
@@ -95,6 +97,25 @@ def bound_batches(spark: SparkSession, rows: int = 1024, size: int = 4 << 20) ->
             spark.conf.set(key, str(most))
 
 
+def trim_memory() -> None:
+    """Give a Python worker's freed memory back to the system; idle workers would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run):
+    """A task function over batches that trims its worker's memory when it ends."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim_memory()
+
+    return tidied
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 

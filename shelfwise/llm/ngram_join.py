@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, buckets_for, discard, materialize, mix64, release, shingle_sets, split_by_key
+from .common import bound_batches, buckets_for, discard, materialize, mix64, release, shingle_sets, split_by_key, tidy, trim_memory
 
 WIDTH = 5
 #: Stored bytes of the input whose signatures share one bucket.
@@ -224,14 +224,16 @@ def _gather(rows: pd.DataFrame) -> pd.DataFrame:
     found = shared_regions(np.concatenate(keys), np.concatenate(sets)) if keys else []
     facts = np.concatenate(facts) if facts else np.empty(0, dtype=_INFO)
     n = len(found)
+    del keys, sets
+    trim_memory()
     return pd.DataFrame({
         "region": pd.array([r for r, _ in found] + [None] * len(facts), dtype="Int64"),
-        "members": [m for _, m in found] + [None] * len(facts),
+        "members": pd.Series([m.tolist() for _, m in found] + [None] * len(facts), dtype=object),
         "doc_id": pd.array([None] * n + [None if g else d for d, g in zip(facts["doc"].tolist(), facts["gone"].tolist())], dtype="Int64"),
         "text_hash": pd.array([None] * n + facts["text"].tolist(), dtype="Int64"),
         "n_shingles": pd.array([None] * n + facts["n"].tolist(), dtype="Int64"),
         "set_id": pd.array([None] * n + [s if k else None for s, k in zip(facts["set"].tolist(), facts["n"].tolist())], dtype="Int64"),
-        "sketch": [None] * n + [x.tobytes() for x in facts["sketch"]],
+        "sketch": pd.Series([None] * n + [x.tobytes() for x in facts["sketch"]], dtype=object),
     })
 
 
@@ -258,7 +260,7 @@ def _sets_of(texts: DataFrame) -> DataFrame:
                     names=["set_id", "n", "hashes"],
                 )
 
-    return texts.mapInArrow(run, "set_id long, n long, hashes array<long>")
+    return texts.mapInArrow(tidy(run), "set_id long, n long, hashes array<long>")
 
 
 def _near(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, radius: Radius) -> np.ndarray:
@@ -374,7 +376,7 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     radius = Radius(percent)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     gathered = materialize(
-        rows.mapInArrow(_emit(buckets_for(docs, BUCKET_BYTES), radius), _PACKED).groupBy("bucket").applyInPandas(_gather, _GATHERED), "regions"
+        rows.mapInArrow(tidy(_emit(buckets_for(docs, BUCKET_BYTES), radius)), _PACKED).groupBy("bucket").applyInPandas(_gather, _GATHERED), "regions"
     )
     release(docs.sparkSession)
     facts = gathered.where("region IS NULL").select("doc_id", "text_hash", "n_shingles", "set_id")
@@ -436,6 +438,7 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         for i, j in zip(cut, cut[1:]):
             i += STARS  # the pivots have been measured
             found.append(ids[i + region_pairs(n[i:j], label[i:j], points[i:j], radius)])
+        trim_memory()
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     groups = max(1, mixed.count() // GROUP_REGIONS)
@@ -466,7 +469,7 @@ def _screen(pairs: DataFrame, counts: DataFrame, radius: Radius) -> DataFrame:
             near = np.abs(a - b).sum(axis=1) <= radius.differ(p["na"].to_numpy(), p["nb"].to_numpy())
             yield p.loc[near, ["a", "b", "turn"]]
 
-    return both.mapInPandas(run, "a long, b long, turn int")
+    return both.mapInPandas(tidy(run), "a long, b long, turn int")
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, mix64
+from .common import bound_batches, mix64, tidy
 
 FEATURES = 1 << 18
 ORDERS = (3, 4, 5)
@@ -156,9 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = FIT_ROWS_PER
         yield pd.DataFrame({"features": [at.astype("<i4").tobytes()], "weights": [weight.astype("<f8").tobytes()], "bias": [bias]})
 
     model = (
-        rows.mapInPandas(features, "doc_id long, toxic int, features binary")
+        rows.mapInPandas(tidy(features), "doc_id long, toxic int, features binary")
         .repartition(1)
-        .mapInPandas(learn, "features binary, weights binary, bias double")
+        .mapInPandas(tidy(learn), "features binary, weights binary, bias double")
         .collect()
     )
     if not model:
@@ -189,4 +189,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column:
 
     from pyspark.sql import types as T
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))

@@ -1,0 +1,381 @@
+"""Each operator against brute force, and on null, empty, repeated and clashing rows."""
+
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.llm import chat_format, exact_dedup, ngram_join, packing, pieces, secrets, sharding, token_binary, topk, toxicity
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(n))
+
+
+def corpus(seed=3):
+    """Unique texts, copies, chains of near copies, a shared passage, empty, null and long texts."""
+    rng = random.Random(seed)
+    shared = prose(rng, 40)
+    texts = [None, "", "  \n", "Word", "word", "one two three", "One  two\nthree", "x" * 50_000]
+    for _ in range(12):
+        base = prose(rng, rng.randint(3, 120)).split()
+        texts.append(" ".join(base))
+        for _ in range(6):
+            if rng.random() < 0.7:
+                base = list(base)
+                base[rng.randrange(len(base))] = prose(rng, 1)
+            texts.append(" ".join(base).upper() if rng.random() < 0.3 else " ".join(base))
+        texts.append(f"{prose(rng, rng.randint(20, 60))} {shared} {prose(rng, 10)}")
+    texts.append(" ".join(prose(rng, 1) for _ in range(30_000)))
+    texts.append(texts[-1] + " tail")
+    return [(i, t, "en", f"s{i % 3}" if i % 7 else None, 0) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), DOCS).repartition(3).withColumns({"label": F.lit("clash"), "set_id": F.lit(1), "score": F.lit("x"), "bucket": F.lit(2)})
+
+
+def low(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+def shingles(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", low(t))
+    return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def brute_components(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+def test_ngram_join(spark, docs):
+    want = brute_components([(r[0], r[1]) for r in corpus()])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs).collect()}
+    assert got == want
+    kept = {r["doc_id"] for r in ngram_join.keep_one(docs).collect()}
+    assert kept == {i for i, (_, c) in want.items() if i == c}
+    assert ngram_join.ngram_join(docs.limit(0)).collect() == []
+
+
+def test_signatures_never_miss():
+    """Sets at the very border of the similarity share a region."""
+    rng, radius = np.random.default_rng(1), ngram_join.Radius(80)
+    for n in [*range(1, 40), 64, 100, 333, 1000]:
+        for _ in range(6):
+            x = np.unique(rng.integers(0, 2**64, n + 200, dtype=np.uint64))[:n]
+            gone, more = rng.integers(0, n // 9 + 1), rng.integers(0, n // 4 + 1)
+            y = np.unique(np.concatenate([rng.permutation(x)[: n - gone], rng.integers(0, 2**64, more, dtype=np.uint64)]))
+            common = len(np.intersect1d(x, y))
+            if 100 * common >= 80 * (len(x) + len(y) - common):
+                keys, whose = ngram_join.signatures(np.concatenate([x, y]), np.array([len(x), len(y)]), radius)
+                assert set(keys[whose == 0].tolist()) & set(keys[whose == 1].tolist()), (n, gone, more)
+
+
+def test_recursive_cells_are_exact():
+    rng, radius = np.random.default_rng(2), ngram_join.Radius(80)
+    centres = rng.integers(0, 8, (12, ngram_join.SKETCH))
+    counts = np.concatenate([np.clip(c + rng.integers(-1, 2, (70, ngram_join.SKETCH)) * (rng.random((70, 1)) < 0.5), 0, 255) for c in centres]).astype(np.uint8)
+    sizes, labels = np.full(len(counts), 900), rng.integers(0, 300, len(counts))
+    got = {tuple(p) for p in ngram_join.region_pairs(sizes, labels, counts, radius).tolist()}
+    gap = np.abs(counts[:, None, :].astype(int) - counts[None]).sum(axis=2)
+    want = {(i, j) for i, j in itertools.combinations(range(len(counts)), 2) if gap[i, j] <= 200 and labels[i] != labels[j]}
+    assert got == want
+
+
+def test_topk(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([0.0, rng.gauss(0, 0.2)]) for _ in range(16)], 0) for i in range(300)]
+    rows += [(300, None, 0), (301, [float("nan")] * 16, 0), (302, [None] + [0.1] * 15, 0), (None, [0.1] * 16, 0), (303, rows[7][1], 1), (5, rows[5][1], 2)]
+    got = topk.top_k_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int"))
+    vectors = {i: np.floor(np.array(v, dtype=np.float32).astype(float) * 256).astype(int) for i, v, _ in rows if i is not None and i not in (300, 301, 302)}
+    want = set()
+    for q in (i for i in vectors if i % 50 == 0):
+        best = sorted((-int(vectors[q] @ v), i) for i, v in vectors.items() if i != q)[:5]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
+    assert topk.top_k_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_maxscore_prunes_and_is_exact():
+    rng = np.random.default_rng(5)
+    weights = (rng.integers(-40, 60, (3000, 24)) * (rng.random((3000, 24)) < 0.2)).astype(np.int64)
+    queries = (rng.integers(-20, 50, (20, 24)) * (rng.random((20, 24)) < 0.4)).astype(np.int64)
+    got = topk.search_block(np.arange(20), queries, np.arange(3000), weights, 5)
+    for q in range(20):
+        score = weights @ queries[q]
+        want = sorted((-int(s), i) for i, s in enumerate(score) if i != q)[:5]
+        assert [(-s, v) for v, s in got[got.query_id == q][["vec_id", "score"]].itertuples(index=False)] == want
+
+
+def test_exact_dedup(spark, docs):
+    rows = [(r[0], r[1]) for r in corpus()] + [(500, "ab" * 9), (501, "AB" * 9), (501, "ab" * 9), (None, "ab" * 9), (502, "ab" * 8), (503, "É"), (504, "é")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("name", F.lit("clash")).withColumn("pos", F.lit(0))
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(low(t), []).append(i)
+    for block in (exact_dedup.BLOCK_CHARS, 3):
+        if block == 3:
+            df = df.where("coalesce(length(text), 0) < 1000")
+        got = exact_dedup.exact_dedup(df, block_chars=block).collect()
+        kept = [r for r in got if r["kept"]]
+        keys = {low(t) for i, t in rows if block != 3 or len(t or "") < 1000}
+        assert len(kept) == len(keys) and {r["text_sha256"] for r in kept} == {hashlib.sha256(k.encode()).hexdigest() for k in keys}
+        by_sha = {hashlib.sha256(k.encode()).hexdigest(): v for k, v in groups.items()}
+        for r in got:
+            ids = by_sha[r["text_sha256"]]
+            assert (r["group_size"], r["keep_id"]) == (len(ids), max((x for x in ids if x is not None), default=None))
+    assert exact_dedup.keep_exact(df).count() == len(keys)
+    assert exact_dedup.exact_dedup(df.limit(0)).collect() == []
+
+
+def test_secrets(spark):
+    rng = random.Random(6)
+    alphabet = ["password", "=", ":", " ", '"', "token", "AKIA", "ABCDEFGH1234", "deadbeef", "0123abcd", "Api_Key", "apikey", "x", "\n", "é", "secret", "Kſ", "s3cr3t/+", "longvalue99"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(300)] + [None, "", "a" * 100_000]
+    assign = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    got = {r["doc_id"]: r for r in secrets.digest(secrets.secret_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    for i, t in enumerate(texts):
+        spans = [("assign", *m.span()) for m in assign.finditer(t or "") if len(m[2]) >= 8]
+        spans += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 16]
+        spans += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", t or "") if len(m[0]) >= 32]
+        spans.sort(key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+        line = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert got[i]["base_sha256"] == hashlib.sha256(line.encode()).hexdigest()
+        assert got[i]["n_assign"] == sum(s[0] == "assign" for s in spans)
+        assert set(filter(None, line.split(","))) <= set(got[i]["spans"].split(","))
+
+
+def test_guess_costs():
+    cost = secrets.log_guesses
+    assert cost("") == 0 and cost("password") < 3 and cost("P4ssw0rd") < 4 and cost("qwertyuiop") < 5
+    assert cost("19840712") < 6 and cost("abababababab") < 6 and cost("xK9#mQ2$vL7!") > 12
+    assert [s[0] for s in secrets.scan_text("pwd: xK9#mQ2$vL7! and postgres://u:Zt8%kW3^qN5&@h")] == ["guess", "guess"]
+    assert secrets.scan_text("pwd: correct, the token of thanks: letter") == []
+    assert secrets.redact_text('x password="abcdefgh1" y') == 'x password="[secret]" y'
+
+
+def test_guess_cost_is_minimal():
+    """The recurrence against every segmentation, with brute force and words only."""
+    def brute(v):
+        if not v:
+            return 0.0
+        costs = []
+        for n in range(1, len(v) + 1):
+            seg = sum(map(secrets._char_cost, v[:n]))
+            if v[:n] in secrets.RANK:
+                seg = min(seg, secrets.RANK[v[:n]])
+            costs.append(secrets.LOG_SEGMENT + seg + brute(v[n:]))
+        return min(costs)
+
+    for v in ("xadminz", "testkeyq", "zmoneyx", "rootrun"):
+        assert math.isclose(secrets.log_guesses(v), brute(v))
+
+
+def test_packing(spark, docs):
+    out = packing.best_fit_pack(docs, capacity=64).collect()
+    size = {r[0]: -(-len((r[1] or "").encode()) // 4) + 1 for r in corpus()}
+    cluster = {r[0]: low(r[1]) for r in corpus()}
+    total, bins = {}, {}
+    for r in out:
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["size"]
+        bins.setdefault((r["shard"], r["bin"]), []).append(r)
+    assert total == size
+    for held in bins.values():
+        held.sort(key=lambda r: r["offset"])
+        assert all(a["offset"] + a["size"] == b["offset"] for a, b in zip(held, held[1:])) and held[0]["offset"] == 0 and held[-1]["offset"] + held[-1]["size"] <= 64
+        assert len({cluster[r["doc_id"]] for r in held}) == len(held)
+
+
+def test_best_fit_is_the_tightest():
+    rng = random.Random(7)
+    items = [(rng.randint(1, 30), rng.randrange(6), rng.randrange(20)) for _ in range(300)]
+    got = packing.pack_pieces(*map(list, zip(*items)), capacity=40)[0]
+    bins = []
+    for (size, source, cluster), number in zip(items, got):
+        fits = [(left - size, i) for i, (left, s, c) in enumerate(bins) if left >= size and source not in s and cluster not in c]
+        want = min(fits)[1] if fits else len(bins)
+        assert number == want
+        if want == len(bins):
+            bins.append([40, set(), set()])
+        bins[want][0] -= size
+        bins[want][1].add(source)
+        bins[want][2].add(cluster)
+
+
+def test_toxicity(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        words = prose(rng, rng.randint(5, 80)).split()
+        if toxic:
+            words[rng.randrange(len(words))] = rng.choice(["grumbol", "snarvik"])
+        rows.append((i, " ".join(words), "clash"))
+        labels.append((i, int(toxic), 0))
+    rows += [(900, None, ""), (901, "", ""), (902, "grumbol " * 20_000, "")]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string, score string"), spark.createDataFrame(labels + labels[:5] + [(None, 1, 0)], "doc_id long, toxic int, text int")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.train(docs, marks, training=~held)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    test = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum((got[i] >= 0.7) == (i % 4 == 0) for i in test) >= 0.95 * len(test)
+    assert got[900] == got[901] < 0.5 and got[902] > 0.7
+    assert toxicity.score(docs, toxicity.train(docs, marks.limit(0))).count() == len(rows)
+
+
+def test_pieces_against_the_library():
+    import sentencepiece
+
+    def field(number, value):
+        def varint(x):
+            out = b""
+            while True:
+                out += bytes([x & 127 | (128 if x > 127 else 0)])
+                x >>= 7
+                if not x:
+                    return out
+        return varint(number << 3) + varint(value) if isinstance(value, int) else varint(number << 3 | 2) + varint(len(value)) + value
+
+    path = pieces.default_model()
+    parts = b""
+    for number, value in pieces._fields(open(path, "rb").read()):
+        if number == 2:  # the trainer's settings: read the pieces as a unigram model
+            value = b"".join(field(n, 1 if n == 3 else v) for n, v in pieces._fields(value) if isinstance(v, int) or len(v) != 4)
+        parts += field(number, value)
+    library, model = sentencepiece.SentencePieceProcessor(model_proto=parts), pieces.PieceModel.load(path)
+    score = {i: library.get_score(i) for i in range(library.vocab_size())}
+    rng = random.Random(9)
+    words = ["the", "theathat", "unbelievable", "wörter", *("".join(rng.choice("aehinrst") for _ in range(rng.randint(1, 14))) for _ in range(300))]
+    ids = model.encode_words(["▁" + w for w in words])
+    for w in words:
+        want = library.nbest_encode(w, nbest_size=2)[0]
+        assert sum(score[i] for i in ids["▁" + w]) == sum(score[i] for i in want), w
+
+
+def test_pieces_round_trip(spark, docs):
+    texts = [None, "", " ", "a", "  two  spaces ", "línea\nnueva\t", "日本語 text 🎉", "\x00\x01", "▁mark"] + [r[1] for r in corpus()]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    done = pieces.decode(pieces.encode(df)).collect()
+    for r in done:
+        assert r["decoded"] == (r["text"] or "").replace("▁", " ")
+    assert all(r["round_trip"] for r in pieces.digest(pieces.encode(df)).collect())
+
+
+def test_sharding(spark, docs):
+    more = docs.unionByName(docs.limit(9)).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    out = sharding.shard_documents(more, 4).collect()
+    assert len(out) == more.count()
+    where, text = {}, {r["doc_id"]: r["text"] for r in docs.collect()}
+    slots = {}
+    for r in out:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        where.setdefault(r["text_crc32"], set()).add(r["shard"])
+        if r["doc_id"] is not None:
+            raw = (text[r["doc_id"]] or "").encode()
+            assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in where.values())
+    vectors = np.random.default_rng(3).integers(1, 100, (4000, 3))
+    shards = sharding.place(vectors, 8)
+    load = np.array([vectors[shards == s].sum(axis=0) for s in range(8)])
+    assert (load.max(axis=0) / load.min(axis=0) < 1.02).all()
+
+
+def test_chat(spark):
+    said = "<|im_end|><|im_start|>assistant ok"
+    rows = [(1, 1, "assistant", said), (1, 0, "user", said), (1, 1, "assistant", said), (2, None, None, None), (3, 0, "as<|sep", "<\\\\|x <\\| < |"), (None, 0, "user", "q")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1))
+    made = {r["conv_id"]: r for r in chat_format.format_conversations(df).collect()}
+    assert chat_format.read_back(made[1]["formatted"]) == [("user", said), ("assistant", said), ("assistant", said)]
+    assert chat_format.read_back(made[3]["formatted"]) == [("as<|sep", "<\\\\|x <\\| < |")] and chat_format.read_back(made[2]["formatted"]) == [("", "")]
+    out = {r["conv_id"]: r for r in chat_format.digest(chat_format.format_conversations(df)).collect()}
+    assert out[1]["loss_chars"] == 2 * len(said) and out[1]["loss_sha256"] == hashlib.sha256((said * 2).encode()).hexdigest()
+    assert chat_format.format_conversations(df.limit(0)).collect() == []
+
+
+def test_template_language():
+    render = chat_format.compile_template
+    assert render("{% for m in messages %}{{ m.a + '!' if m.a != 'x' else 'none' | upper }};{% endfor %}")([{"a": "y"}, {"a": "x"}])[0] == "y!;NONE;"
+    assert chat_format.fold(chat_format.parse("a{{ 'b' + 'c' }}{% if 1 == 2 %}no{% else %}d{% endif %}")) == [("text", "abcd")]
+    for bad in ("{{ a.__class__() }}", "{% import os %}", "{{ a | eval }}", "{% if x %}", "{{ a[0] }}", "{% endfor %}"):
+        with pytest.raises(chat_format.TemplateError):
+            render(bad)
+
+
+def test_escape_round_trip():
+    rng = random.Random(10)
+    for _ in range(2000):
+        t = "".join(rng.choice("<|\\a") for _ in range(rng.randint(0, 12)))
+        assert chat_format.unescape(chat_format.escape(t)) == t and "<|" not in chat_format.escape(t)
+
+
+def test_tokens(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_binary.default_tokenizer())
+    extra = [(600, "x <|endoftext|> y"), (601, "a \n b\n\n  c . d's"), (None, "null id"), (602, "")]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string")).withColumn("part", F.lit(0))
+    got = token_binary.token_round_trip(df).orderBy("start").collect()
+    rows = sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    at = 0
+    for (i, t), r in zip(rows, got, strict=True):
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        at += len(ids)
+
+
+@pytest.mark.parametrize("width", [1, 3, 8, 11, 16, 17, 32])
+def test_bit_packing(tmp_path, width):
+    rng = np.random.default_rng(width)
+    counts = rng.integers(0, 3000, 12)
+    ids = rng.integers(0, 2**width, counts.sum(), dtype=np.uint64).astype(np.uint32)
+    path = str(tmp_path / "x.ids")
+    with open(path, "wb") as f:
+        writer = token_binary.IdWriter(f, width)
+        writer.add(list(range(5)), ids[: counts[:5].sum()], counts[:5])
+        writer.add([None, *range(6, 12)], ids[counts[:5].sum() :], counts[5:])
+        assert writer.close() == (12, counts.sum())
+    reader = token_binary.IdReader(path)
+    ends = np.cumsum(counts)
+    for i in range(12):
+        assert (reader.document(i) == ids[ends[i] - counts[i] : ends[i]]).all()
+    assert (reader.ids(4000, 9001) == ids[4000:9001]).all()
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = kept
+        kept = spark.createDataFrame(stage(spark, before, folder).collect(), docs.schema)
+        assert kept.columns == docs.columns
+        rows = {r["doc_id"]: r["text"] for r in before.collect()}
+        ids = {r["doc_id"] for r in kept.collect()}
+        if name == "exact_dedup":
+            last = {}
+            for i, t in rows.items():
+                last[low(t)] = max(i, last.get(low(t), -1))
+            assert ids == set(last.values())
+        if name == "ngram_jaccard_join":
+            assert ids == {i for i, (_, c) in brute_components(rows.items()).items() if i == c}
+        if name == "secret_scans":
+            assert ids == set(rows) and all(r["text"] == secrets.redact_text(rows[r["doc_id"]]) for r in kept.collect())
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, kept, folder).collect()} == ids
