@@ -71,7 +71,7 @@ def buckets_for(df: DataFrame, bytes_each: int) -> int:
 
 
 #: Cells of a key's hash; bounds the table that ``split_by_key`` broadcasts.
-KEY_CELLS = 1 << 18
+KEY_CELLS = 1 << 20
 
 
 def split_by_key(df: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:

@@ -421,10 +421,11 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         release(docs.sparkSession)
 
     # regions that still hold several components
-    member = regions.select("region", F.explode("members").alias("set_id")).join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
+    # among the sets that were no pivots
+    rest = regions.where(F.size("members") > STARS + 1).select("region", F.explode(F.slice("members", F.lit(STARS + 1), F.size("members") - STARS)).alias("set_id"))
+    member = rest.join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
     member = member.withColumn("label", F.coalesce("label", "set_id"))
-    mixed = member.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    mixed = mixed.where(f"low <> high AND size > {STARS}").select("region")
+    mixed = member.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
     mixed = materialize(mixed, "mixed")
     crowd = member.join(mixed, "region").join(counts, "set_id")
 
@@ -436,7 +437,6 @@ def ngram_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         cut = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
         found = [np.empty((0, 2), dtype=np.int64)]
         for i, j in zip(cut, cut[1:]):
-            i += STARS  # the pivots have been measured
             found.append(ids[i + region_pairs(n[i:j], label[i:j], points[i:j], radius)])
         trim_memory()
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
