@@ -37,6 +37,9 @@ from .common import bound_batches, buckets_for, discard, materialize, mix64, rel
 WIDTH = 5
 #: Stored bytes of the input whose signatures share one bucket.
 BUCKET_BYTES = 4 << 20
+#: Bytes of a signature that are stored in its bucket, the rest of it being the bucket's. Where two
+#: signatures agree in these by chance, their sets share a region, and whole sets still decide.
+KEY_BYTES = 5
 #: Counts of a class-count vector.
 SKETCH = 256
 #: Sets of a region that are compared directly; above it the region is split by pivots.
@@ -121,6 +124,16 @@ def signatures(hashes: np.ndarray, size: np.ndarray, radius: Radius) -> tuple[np
     return np.concatenate(keys), np.concatenate(whose)
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """The low ``KEY_BYTES`` bytes of each key."""
+    return keys.astype("<u8").view("u1").reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    low = np.frombuffer(data, dtype="u1").reshape(-1, KEY_BYTES)
+    return np.pad(low, ((0, 0), (0, 8 - KEY_BYTES))).view("<u8").ravel()
+
+
 def _chunks(texts: pa.Array, limit: int = 1 << 18):
     """Lists of (row, set), some ``limit`` shingles each."""
     some, total = [], 0
@@ -172,13 +185,13 @@ def _emit(buckets: int, radius: Radius):
                     if new:
                         fresh = np.array([s for _, s in new], dtype=np.int64)
                         keys, whose = signatures(np.concatenate([some[i][1] for i, _ in new]), size[[i for i, _ in new]], radius)
-                        bucket = ((keys >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+                        bucket = ((keys >> np.uint64(8 * KEY_BYTES)) % np.uint64(buckets)).astype(np.int64)
                         order = np.argsort(bucket, kind="stable")
                         bucket, keys, whose = bucket[order], keys[order], whose[order]
                         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                         for a, b in zip(cut, [*cut[1:], len(bucket)]):
                             rows["bucket"].append(int(bucket[a]))
-                            rows["keys"].append(keys[a:b].tobytes())
+                            rows["keys"].append(pack_keys(keys[a:b]))
                             rows["sets"].append(fresh[whose[a:b]].tobytes())
                             rows["docs"].append(None)
                 rows["bucket"].append(int(mix64(np.array([facts["doc"][0] ^ len(at)]).view(np.uint64))[0] % np.uint64(buckets)))
@@ -219,7 +232,7 @@ def _gather(rows: pd.DataFrame) -> pd.DataFrame:
         if d is not None:
             facts.append(np.frombuffer(d, dtype=_INFO))
             continue
-        keys.append(np.frombuffer(k, dtype=np.uint64))
+        keys.append(unpack_keys(k))
         sets.append(np.frombuffer(s, dtype=np.int64))
     found = shared_regions(np.concatenate(keys), np.concatenate(sets)) if keys else []
     facts = np.concatenate(facts) if facts else np.empty(0, dtype=_INFO)
