@@ -177,6 +177,17 @@ def test_secret_goes_on_beyond_base_value():
     assert [s[0] for s in secrets.scan_text("password=Tr0ub4dorkjfQx9")] == ["assign"]
 
 
+def test_secret_of_any_length():
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefghijkLMNOPQRSTUV0123456789-_") for _ in range(400))
+    assert secrets.redact_text(f'"Authorization": "Bearer {long}", x') == '"Authorization": "[secret]", x'
+    assert secrets.redact_text(f'private_key="{long}" x') == 'private_key="[secret]" x'
+    assert secrets.redact_text(f"pwd='{long}' x") == "pwd='[secret]' x"
+    assert secrets.redact_text(f"db://u:{long}@h") == "db://u:[secret]@h"
+    assert secrets.redact_text(f"db://{'u' * 70}:Zt8%kW3^qN5x@h") == f"db://{'u' * 70}:[secret]@h"
+    assert secrets.redact_text("redis://:Zt8%kW3^qN5x@h") == "redis://:[secret]@h"
+
+
 def test_guess_cost_is_minimal():
     """The recurrence against every segmentation, with brute force and words only."""
     def brute(v):
