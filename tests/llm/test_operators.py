@@ -188,6 +188,17 @@ def test_secret_of_any_length():
     assert secrets.redact_text("redis://:Zt8%kW3^qN5x@h") == "redis://:[secret]@h"
 
 
+def test_secret_of_one_kind_of_character():
+    hidden = {
+        "postgres://app:qzvxjkwpmbtrlf@db": "postgres://app:[secret]@db", "pwd=849201736450918273": "pwd=[secret]", "pwd: 849201736450918273": "pwd: [secret]",
+        "api-key=qzvxjkwpmbtrlf": "api-key=[secret]", "access_key = QZVXJKWPMBTRLF": "access_key = [secret]", '"pass": "qzvxjkwpmbtrlf"': '"pass": "[secret]"',
+        "Authorization: Bearer qzvxjkwpmbtrlf": "Authorization: Bearer [secret]",
+    }
+    assert {t: secrets.redact_text(t) for t in hidden} == hidden
+    for text in ("pwd: correctly", "the pass is Unforgettable.", "pwd=passwordpassword", "pwd=19840712", "pwd=1111111111111111"):
+        assert secrets.scan_text(text) == []
+
+
 def test_guess_cost_is_minimal():
     """The recurrence against every segmentation, with brute force and words only."""
     def brute(v):
