@@ -265,12 +265,23 @@ _EDGES = "SELECT DISTINCT o_custkey AS a, 100000000 + l_partkey AS b FROM orders
 r AS (SELECT a AS node, a AS label FROM u UNION SELECT u.b, r.label FROM r JOIN u ON u.a = r.node AND r.label < u.b)
 SELECT node, min(label) AS label FROM r GROUP BY 1""")
 def components(spark, d):
-    """G1"""
+    """G1 on the few edges of its SQL; components_all takes all of them"""
     line = table(spark, d, "lineitem").where("l_discount > 0.09 AND l_tax > 0.07 AND l_quantity > 47").select("l_orderkey", "l_partkey")
     edges = line.join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return matching.clusters(edges.select(F.col("o_custkey").alias("a"), (F.lit(100000000) + F.col("l_partkey")).alias("b")).distinct())
 
 
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, 100000000 + l_partkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(node, label) USING KEY (node) AS (SELECT a, min(least(a, b)) FROM u GROUP BY a
+  UNION SELECT u.b, min(r.label) FROM r JOIN u ON u.a = r.node JOIN recurring.r AS c ON c.node = u.b WHERE r.label < c.label GROUP BY u.b)
+SELECT node, label FROM r""")
+def components_all(spark, d):
+    """G1 over every order line"""
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    edges = line.join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return matching.clusters(edges.select(F.col("o_custkey").alias("a"), (F.lit(100000000) + F.col("l_partkey")).alias("b")).distinct())
+
+
 # --- merging ------------------------------------------------------------------------------------
 
 _SPLIT = """old AS (SELECT user_id, event_type, value, props FROM events WHERE ts < TIMESTAMP '2024-01-15' QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
