@@ -196,13 +196,22 @@ def join_filters(spark, d):
 @query("""WITH x AS (SELECT p_partkey AS k, p_type AS t, CAST(p_retailprice AS DOUBLE) / 10 AS a, p_partkey % 2 AS s FROM part)
 SELECT l.k AS left_id, r.k AS right_id FROM x l JOIN x r ON l.t = r.t AND l.s = 0 AND r.s = 1 AND abs(l.a - r.a) <= greatest(0.08, least(l.a, r.a) * 0.0001) WHERE l.a > 0 AND r.a > 0""")
 def band_join_qty(spark, d):
-    """J6, J16, U15"""
+    """J6, J16 within 0.01 % as in its SQL; band_join_all has U15's 2.5 %"""
     part = table(spark, d, "part").select("p_partkey", "p_type", (F.col("p_retailprice") / 10).alias("a"))
     left = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("left_id"), F.col("p_type").alias("kind"), F.col("a").alias("amount_l"))
     right = part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("right_id"), F.col("p_type").alias("kind"), F.col("a").alias("amount_r"))
     return matching.band_join(left, right, "kind", "amount", share=0.0001).select("left_id", "right_id")
 
 
+@query("""WITH x AS (SELECT p_partkey AS k, p_brand AS b, p_type AS t, CAST(p_retailprice AS DOUBLE) / 10 AS a FROM part)
+SELECT l.k AS left_id, r.k AS right_id FROM x l JOIN x r ON l.b = r.b AND l.t = r.t AND l.k < r.k AND abs(l.a - r.a) <= greatest(0.08::DOUBLE, least(l.a, r.a) * 0.025::DOUBLE) WHERE l.a > 0 AND r.a > 0""")
+def band_join_all(spark, d):
+    """All pairs of parts of one brand and type within the operator's own tolerance"""
+    part = table(spark, d, "part").select("p_partkey", F.struct("p_brand", "p_type").alias("kind"), (F.col("p_retailprice") / 10).alias("a")).where("kind.p_brand IS NOT NULL AND kind.p_type IS NOT NULL")
+    left, right = part.toDF("left_id", "kind", "amount_l"), part.toDF("right_id", "kind", "amount_r")
+    return matching.band_join(left, right, "kind", "amount").where("left_id < right_id").select("left_id", "right_id")
+
+
 @query("""WITH x AS (SELECT p_partkey AS k, p_brand AS b, p_type AS t, floor(p_size * 20 + 0.5) / 20 AS q FROM part)
 SELECT b AS brand, t AS kind, q AS amount, CAST(count(*) AS BIGINT) AS members FROM x GROUP BY 1, 2, 3 HAVING count(*) > 1""")
 def block_equi(spark, d):
@@ -477,12 +486,23 @@ st(store_id, place) AS (VALUES {_STORE_LIST}), x AS (SELECT store_id, place, q,
 g AS (SELECT store_id, place, CAST(coalesce(sum(p * q), 0) AS BIGINT) AS total_cents, CAST(count(*) FILTER (p IS NULL) AS BIGINT) AS missing FROM x GROUP BY 1, 2)
 SELECT store_id, total_cents, missing, missing = 0 AS complete, CAST(row_number() OVER (ORDER BY missing, total_cents, place) AS INTEGER) AS rank FROM g""")
 def basket_compare(spark, d):
-    """B1-B4, A17"""
+    """B1-B4 on a tenth of the products as in its SQL; basket_compare_all has all of them"""
     p = _products(spark, d)
     basket = p.where("product_id % 10 = 0").select("product_id", (F.col("size") * 2.5).alias("quantity"))
     return prices.compare_basket(prices.sanitize_basket(basket, p), _current(spark, d), STORES)
 
 
+@query(f"""WITH {CURRENT}{_WIDE}, b AS (SELECT p_partkey AS product_id, least(99, floor(p_size * 2.5)) AS q FROM part WHERE p_size > 0),
+st(store_id, place) AS (VALUES {_STORE_LIST}), x AS (SELECT store_id, place, q, CASE place {' '.join(f'WHEN {i} THEN s{i}' for i in range(5))} END AS p FROM b CROSS JOIN st LEFT JOIN wide USING (product_id)),
+g AS (SELECT store_id, place, CAST(coalesce(sum(p * q), 0) AS BIGINT) AS total_cents, CAST(count(*) FILTER (p IS NULL) AS BIGINT) AS missing FROM x GROUP BY 1, 2)
+SELECT store_id, total_cents, missing, missing = 0 AS complete, CAST(row_number() OVER (ORDER BY missing, total_cents, place) AS INTEGER) AS rank FROM g""")
+def basket_compare_all(spark, d):
+    """A basket of all products"""
+    p = _products(spark, d)
+    basket = p.select("product_id", (F.col("size") * 2.5).alias("quantity"))
+    return prices.compare_basket(prices.sanitize_basket(basket, p), _current(spark, d), STORES)
+
+
 @query(f"""WITH {CURRENT}, k AS (SELECT product_id, count(*) AS k FROM cur WHERE eligible GROUP BY 1)
 SELECT product_id, CAST(k * 100 + CASE WHEN p_size % 2 = 0 THEN 0 ELSE 25 END + CASE WHEN p_type LIKE '%A%' THEN 5 ELSE 0 END AS BIGINT) AS priority FROM k JOIN part ON p_partkey = product_id ORDER BY priority DESC, product_id LIMIT 40""")
 def frontier_topk(spark, d):

@@ -37,3 +37,30 @@ def test_components_take_every_order_line(spark):
     edges = [(r["o_custkey"], 100000000 + r["l_partkey"]) for r in lines.join(orders, "k").collect()]
     got = queries.queries()["components_all"](spark, FOLDER).collect()
     assert {r["node"]: r["label"] for r in got} == least_labels(edges)
+
+
+def test_band_join_at_production_tolerance(spark):
+    parts = spark.read.parquet(f"{FOLDER}/part.parquet").select("p_partkey", "p_brand", "p_type", "p_retailprice").collect()
+    near = lambda a, b: abs(a - b) <= max(0.08, min(a, b) * 0.025)
+    want = {(x[0], y[0]) for x in parts for y in parts if x[0] < y[0] and x[1:3] == y[1:3] and near(x[3] / 10, y[3] / 10)}
+    got = [tuple(r) for r in queries.queries()["band_join_all"](spark, FOLDER).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
+def test_band_join_over_neighbouring_cells(spark):
+    rng = random.Random(12)
+    sides = [[(i, "k", rng.choice((0.5, 3.2, 20, 300)) * rng.uniform(0.9, 1.1)) for i in range(150)] for _ in range(2)]
+    left, right = (spark.createDataFrame(s, f"{n}_id long, kind string, amount_{n[0]} double") for s, n in zip(sides, ("left", "right")))
+    want = {(a[0], b[0]) for a in sides[0] for b in sides[1] if abs(a[2] - b[2]) <= max(0.08, min(a[2], b[2]) * 0.025)}
+    got = [tuple(r) for r in matching.band_join(left, right, "kind", "amount").select("left_id", "right_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_basket_takes_every_product(spark):
+    names = "product_id", "store_id", "price_cents"
+    prices = {(r[0], r[1]): r[2] for r in queries.queries()["current_price"](spark, FOLDER).where("eligible").select(*names).collect()}
+    basket = {r[0]: min(99, int(r[1] * 2.5)) for r in spark.read.parquet(f"{FOLDER}/part.parquet").select("p_partkey", "p_size").collect()}
+    for r in queries.queries()["basket_compare_all"](spark, FOLDER).collect():
+        have = [p for p in basket if (p, r["store_id"]) in prices]
+        assert r["missing"] == len(basket) - len(have)
+        assert r["total_cents"] == sum(prices[p, r["store_id"]] * basket[p] for p in have)
