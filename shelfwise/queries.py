@@ -66,7 +66,7 @@ g AS (SELECT p.store_a, p.store_b, CAST(count(pa) AS BIGINT) AS shared, CAST(coa
 SELECT *, CASE WHEN total_a < total_b THEN store_a WHEN total_b < total_a THEN store_b END AS cheaper, abs(total_a - total_b) AS savings_cents,
   floor(CAST(abs(total_a - total_b) AS DOUBLE) / greatest(1, greatest(total_a, total_b)) * 100 * 10.0::DOUBLE + 0.5) / 10.0::DOUBLE AS savings_percent FROM g""")
 def pairwise_basket(spark, d):
-    """A4, J10, A19"""
+    """A4, J10"""
     return prices.pairwise_basket(_current(spark, d), STORES)
 
 
@@ -398,7 +398,7 @@ _QTY_TEXT = "p_name || CASE p_partkey % 5 WHEN 0 THEN ' 12 x ' || p_size || ' fl
 @query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'volume' WHEN 1 THEN 'mass' WHEN 2 THEN 'count' WHEN 3 THEN 'mass' END AS dimension,
 floor(CASE p_partkey % 5 WHEN 0 THEN 12 * p_size WHEN 1 THEN 4 * p_size WHEN 2 THEN p_size WHEN 3 THEN (p_size + 0.5::DOUBLE) * 1000 / 28.349523125::DOUBLE END * 1000 + 0.5) / 1000 AS amount FROM part""")
 def quantity_parse(spark, d):
-    """Four parsers that agree on these forms"""
+    """The direct parser"""
     t = F.expr(_QTY_TEXT)
     q = units.quantity_direct(t)
     return table(spark, d, "part").select("p_partkey", q["dimension"].alias("dimension"), (F.floor(q["amount"] * 1000 + 0.5) / 1000).alias("amount"))
@@ -416,7 +416,7 @@ _PLAIN = "regexp_replace(replace(replace(replace(lower(strip_accents(text)), '&'
 
 @query(f"SELECT doc_id, md5(trim({_PLAIN}, ' ')) AS key_md5, CAST(length(trim({_PLAIN}, ' ')) AS INTEGER) AS length FROM documents WHERE text IS NOT NULL")
 def text_normalize(spark, d):
-    """The search key of whole texts"""
+    """The search key of whole texts"""
     key = text.query_key(F.col("text"))
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.md5(key.cast("binary")).alias("key_md5"), F.length(key).alias("length"))
 
@@ -468,7 +468,7 @@ _SPREAD = ", ".join(f"s{i}" for i in range(5))
 @query(f"""WITH {CURRENT}{_WIDE}, x AS (SELECT product_id, p_name AS name, p_type AS category, list_filter([{_SPREAD}], lambda v: v IS NOT NULL) AS v FROM wide JOIN part ON p_partkey = product_id)
 SELECT product_id, name, category, list_min(v) AS lowest, list_max(v) - list_min(v) AS spread_cents FROM x WHERE len(v) >= 2 AND contains(lower(name || ' ' || category), 'a') ORDER BY spread_cents DESC, name, product_id LIMIT 48""")
 def explore_filter_sort(spark, d):
-    """P9-P12, O3-O6"""
+    """P9-P12, O3, O5, O6"""
     p = _products(spark, d).withColumn("size", F.lit(None).cast("string")).withColumn("on_sale", F.lit(False))
     return explore.explore(p, prices.by_product(_current(spark, d), STORES), STORES, search="a")
 
@@ -477,7 +477,7 @@ def explore_filter_sort(spark, d):
 m AS (SELECT product_id, min(p) AS lo, max(p) AS hi, count(*) AS n FROM e GROUP BY 1)
 SELECT product_id, CAST(n AS BIGINT) AS stores, hi - lo AS spread_cents, (SELECT string_agg(s, ',' ORDER BY s) FROM e WHERE e.product_id = m.product_id AND e.p = m.lo) AS lowest_stores FROM m""")
 def spread_lowest(spark, d):
-    """B5, A18"""
+    """B5"""
     return prices.spread(_current(spark, d))
 
 
@@ -506,7 +506,7 @@ def basket_compare_all(spark, d):
 @query(f"""WITH {CURRENT}, k AS (SELECT product_id, count(*) AS k FROM cur WHERE eligible GROUP BY 1)
 SELECT product_id, CAST(k * 100 + CASE WHEN p_size % 2 = 0 THEN 0 ELSE 25 END + CASE WHEN p_type LIKE '%A%' THEN 5 ELSE 0 END AS BIGINT) AS priority FROM k JOIN part ON p_partkey = product_id ORDER BY priority DESC, product_id LIMIT 40""")
 def frontier_topk(spark, d):
-    """G3, G6, O3"""
+    """G3, O3"""
     k = _current(spark, d).where("eligible").groupBy("product_id").agg(F.count("*").alias("k"))
     items = k.join(_products(spark, d), "product_id")
     return explore.frontier(items, F.col("k"), F.col("size") % 2 == 0, F.col("category").like("%A%"))
