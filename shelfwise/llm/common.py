@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import hashlib
 import re
 import tempfile
 import uuid
@@ -24,10 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none (local tests) a temporary folder is set.
+    A local session that names none (tests) gets a temporary folder; on a cluster that is an error,
+    as executors would write to their own disks and later reads would miss those files.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="shelfwise-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -41,15 +45,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._shelfwise_path = path
+    return back
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a materialized table that no later step reads."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of materialized tables that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._shelfwise_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -59,15 +64,28 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Input size that the optimizer knows from file listings; no scan is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+#: From this size on an optimizer's estimate is its default for data that it can't size.
+_UNSIZED = 1 << 60
+#: Bytes of text that take one stored byte, about.
+_PACKED_TEXT = 3
 
 
-def buckets_for(df: DataFrame, bytes_each: int) -> int:
+def plan_bytes(df: DataFrame, text: str = "text") -> int:
+    """Stored size of the tables that ``df`` reads, as file listings give it; no scan is run.
+
+    Only for data without files (local rows, an RDD) the bytes of column ``text`` are summed.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size < _UNSIZED:
+        return size
+    return int(df.agg(F.sum(F.octet_length(text))).first()[0] or 0) // _PACKED_TEXT
+
+
+def buckets_for(df: DataFrame, bytes_each: int, text: str = "text") -> int:
     """Work units in proportion to the input, and at least the session's shuffle partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(1 << 20, plan_bytes(df) // bytes_each + 1))
+    return max(least, plan_bytes(df, text) // bytes_each + 1)
 
 
 #: Cells of a key's hash; bounds the table that ``split_by_key`` broadcasts.
@@ -123,23 +141,6 @@ def ascii_lower(col):
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        inverse = pow(_BASE, -1, 1 << 64)
-        _powers[:] = [
-            np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, b, dtype=np.uint64))])
-            for b in (_BASE, inverse)
-        ]
-    return _powers[0], _powers[1]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer of SplitMix64, a bijection on 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
@@ -164,12 +165,35 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(raw, starts, ends), starts
 
 
+#: Spans of more bytes than this are hashed one by one.
+_LONG_SPAN = 512
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans ``raw[start:end]``."""
-    up, down = _power_tables(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of the byte spans ``raw[start:end]``.
+
+    Eight bytes at a time go through a bijection that isn't linear, so no structure of a span
+    cancels out; long spans take their BLAKE2 digest.
+    """
+    size = ends - starts
+    out = mix64(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    if not len(starts):
+        return out
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    lanes = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= _LONG_SPAN))
+    at, left = starts[live], size[live]
+    while len(live):
+        part = lanes[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        out[live] = mix64((out[live] ^ part) + np.uint64(0xD6E8FEB86659FD93))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _LONG_SPAN):
+        digest = hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, dtype="<u8")[0]
+    return out
 
 
 _STEP = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, exact_dedup, ngram_join, packing, pieces, secrets, sharding, token_binary, topk, toxicity
+from shelfwise.llm import chat_format, common, exact_dedup, ngram_join, packing, pieces, secrets, sharding, token_binary, topk, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -64,12 +64,44 @@ def brute_components(rows):
 
 
 def test_ngram_join(spark, docs):
+    """Also with regions split over tasks by pivots and blocks, and with buckets too large for a task."""
+    want = brute_components([(r[0], r[1]) for r in corpus()])
+    for bounds in ({}, {"limit": 3}, {"gather_bytes": 1}):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs, **bounds).collect()}
+        assert got == want, bounds
+    assert ngram_join.ngram_join(docs.limit(0)).collect() == []
+
+
+def test_keep_one(spark, docs):
     want = brute_components([(r[0], r[1]) for r in corpus()])
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs).collect()}
-    assert got == want
     kept = {r["doc_id"] for r in ngram_join.keep_one(docs).collect()}
     assert kept == {i for i, (_, c) in want.items() if i == c}
-    assert ngram_join.ngram_join(docs.limit(0)).collect() == []
+    base = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split()
+    near, other = [*base[:-1], "zz"], "unique words of another document here".split()
+    rows = [(3, base, 0), (5, near, 0), (5, other, 0), (None, near + ["end"], 0), (7, ["same"] * 9, 1), (7, ["same"] * 9, 2), (None, [], 0), (None, [], 0), (8, None, 0), (None, ["alone"], 0)]
+    df = spark.createDataFrame([(i, None if w is None else " ".join(w), x) for i, w, x in rows], "doc_id long, text string, label_b int")
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(3, " ".join(base)), (5, " ".join(other)), (7, " ".join(["same"] * 9)), (None, ""), (None, ""), (8, None), (None, "alone")], key=str)
+    again = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(df).collect()}
+    assert again == {(3, 22, 3), (5, 22, 3), (5, 2, 5), (None, 23, 3), (7, 1, 7), (None, 0, None), (8, 0, 8), (None, 1, None)}
+    assert ngram_join.keep_one(df.limit(0)).collect() == []
+
+
+def test_hash_of_structured_words():
+    """Thue-Morse words, which collide under every polynomial hash modulo a power of two."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        pair = f"{word} {word.translate(str.maketrans('ab', 'ba'))}"
+        assert len(set(common.word_hashes(pair.encode())[0].tolist())) == 2
+    rng = random.Random(1)
+    words = {"".join(rng.choice("ab\u00e9") for _ in range(rng.randint(1, 30))) for _ in range(5000)} | {"x" * n for n in range(1, 700)}
+    text = " ".join(sorted(words))
+    hashes, starts = common.word_hashes(text.encode())
+    assert len(hashes) == len(set(hashes.tolist())) == len(words)
+    assert sorted(hashes.tolist()) == sorted(int(common.word_hashes(w.encode())[0][0]) for w in words)
 
 
 def test_signatures_never_miss():
@@ -87,14 +119,31 @@ def test_signatures_never_miss():
 
 
 def test_recursive_cells_are_exact():
+    """Components of near rows of one region against all pairs."""
     rng, radius = np.random.default_rng(2), ngram_join.Radius(80)
     centres = rng.integers(0, 8, (12, ngram_join.SKETCH))
     counts = np.concatenate([np.clip(c + rng.integers(-1, 2, (70, ngram_join.SKETCH)) * (rng.random((70, 1)) < 0.5), 0, 255) for c in centres]).astype(np.uint8)
-    sizes, labels = np.full(len(counts), 900), rng.integers(0, 300, len(counts))
-    got = {tuple(p) for p in ngram_join.region_pairs(sizes, labels, counts, radius).tolist()}
-    gap = np.abs(counts[:, None, :].astype(int) - counts[None]).sum(axis=2)
-    want = {(i, j) for i, j in itertools.combinations(range(len(counts)), 2) if gap[i, j] <= 200 and labels[i] != labels[j]}
-    assert got == want
+    for size in (400, 900):
+        sizes = np.full(len(counts), size)
+        gap = np.abs(counts[:, None, :].astype(int) - counts[None]).sum(axis=2)
+        label = np.arange(len(counts))
+        near = (gap <= radius.differ(size, size)) | np.eye(len(counts), dtype=bool)
+        while True:
+            less = np.where(near, label[None, :], len(counts)).min(axis=1)
+            if (less == label).all():
+                break
+            label = less
+        assert (ngram_join.join_region(counts, sizes, radius) == label).all()
+
+
+def test_sketches_bound_the_difference():
+    """Class counts of sets on both sides of a width's border never differ by more than the sets."""
+    rng = np.random.default_rng(4)
+    x = np.unique(rng.integers(0, 2**64, 2300, dtype=np.uint64))
+    for n in (2047, 2048, 2200):
+        y = np.unique(np.concatenate([x[: n - 150], rng.integers(0, 2**64, 150, dtype=np.uint64)]))
+        points = ngram_join.common_width(ngram_join.sketches(np.concatenate([x, y]), np.array([len(x), len(y)])))
+        assert np.abs(points[0] - points[1]).sum() <= len(np.setxor1d(x, y))
 
 
 def test_topk(spark):
