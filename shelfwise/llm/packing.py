@@ -4,7 +4,9 @@ Documents are dealt into shards of bounded size and packed shard by shard, longe
 Open bins are ordered by (residual, bin number) and carry two bitmaps: the source slots and the
 duplicate clusters they hold. A piece searches from the tightest bin that fits towards roomier
 ones until one shares neither its cluster nor its source slot, and opens a bin if none does.
-A source has ``source_slots`` slots, dealt by a hash, so that many of its pieces may meet in a bin.
+A source has ``source_slots`` slots, dealt by a hash, and only pieces of one slot exclude each other: where
+a source holds a third of all rows, one slot would leave most of its bins nearly empty. With one slot no
+two pieces of a source ever share a bin.
 """
 
 from __future__ import annotations
@@ -12,16 +14,18 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, buckets_for
+from .common import ascii_lower
+from .token_binary import token_counts
 
 CAPACITY = 8192
 SOURCE_SLOTS = 8
-#: Stored bytes of the input in one shard.
-SHARD_BYTES = 2 << 20
+#: Bytes of text in one shard.
+SHARD_BYTES = 8 << 20
 
 
 def pack_pieces(sizes: list[int], sources: list[int], clusters: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -53,35 +57,44 @@ def pack_pieces(sizes: list[int], sources: list[int], clusters: list[int], capac
     return bins, offsets
 
 
-def best_fit_pack(docs: DataFrame, capacity: int = CAPACITY, source_slots: int = SOURCE_SLOTS) -> DataFrame:
-    """One row for each piece: doc_id, piece, size, shard, bin, offset.
+def best_fit_pack(docs: DataFrame, capacity: int = CAPACITY, source_slots: int = SOURCE_SLOTS, tokenizer: str | None = None) -> DataFrame:
+    """One row for each piece: doc_id, piece, first_token, size, shard, bin, offset.
 
-    A document's length is its UTF-8 bytes over four, rounded up, plus one end token; a null text
-    has the end token alone. Documents above ``capacity`` are cut into pieces that fill whole bins
-    but for the last. Documents with equal texts (A-Z lower-cased) are one cluster, a null source
-    is a source of its own. Pieces of one document share its cluster. Repeated and null ids are
-    separate documents; other columns are ignored; no rows in, none out.
+    A document's length is the number of its token ids plus one end token; a null text has the end
+    token alone. Documents above ``capacity`` are cut into pieces that fill whole bins but for the
+    last; a piece holds the ids from ``first_token`` on and lies at ``offset`` of its bin. Documents
+    with equal texts (A-Z lower-cased) are one cluster, a null source is a source of its own. Pieces
+    of one document share its cluster. Repeated and null ids are separate documents; other columns
+    are ignored; no rows in, none out. Shards depend on the rows alone, not on files or settings.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    shards = buckets_for(docs, SHARD_BYTES)
-    rows = docs.select(
-        "doc_id", F.coalesce("source", F.lit("")).alias("source"),
-        (F.ceil(F.octet_length(text) / 4) + 1).cast("long").alias("length"),
-        F.xxhash64(ascii_lower(text)).alias("cluster"),
-    ).withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)).cast("int"))
+    total = docs.agg(F.sum(F.octet_length(text) + 1)).first()[0] or 0
+    shards = int(total) // SHARD_BYTES + 1
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.xxhash64(ascii_lower(text)).alias("cluster"), text.alias("text"))
+    # rows without an id that share a text are told apart by their place
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    rows = token_counts(rows, tokenizer).select(
+        "doc_id", "source", "cluster", (F.col("n_tokens") + 1).alias("length"),
+        F.pmod(F.xxhash64("doc_id", "cluster", F.lit(1)), F.lit(source_slots)).cast("int").alias("slot"),
+        F.pmod(F.xxhash64("doc_id", "cluster", place), F.lit(shards)).cast("int").alias("shard"),
+    )
 
-    def pack(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["length", "doc_id", "cluster", "source"], ascending=[False, True, True, True], na_position="first")
-        n = ((shard["length"] - 1) // capacity + 1).to_numpy()
-        pieces = shard.loc[shard.index.repeat(n)]
-        piece = np.concatenate([np.arange(k) for k in n]) if len(n) else np.empty(0, dtype=np.int64)
-        size = np.minimum(capacity, pieces["length"].to_numpy() - piece * capacity)
+    def pack(shard: pa.Table) -> pa.Table:
+        by = [("length", "descending"), ("doc_id", "ascending"), ("cluster", "ascending"), ("source", "ascending")]
+        shard = shard.take(pc.sort_indices(shard, sort_keys=by))
+        length = shard.column("length").to_numpy()
+        n = (length - 1) // capacity + 1
+        row = np.repeat(np.arange(len(length)), n)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        size = np.minimum(capacity, length[row] - piece * capacity)
         order = np.argsort(-size, kind="stable")
-        pieces, piece, size = pieces.iloc[order], piece[order], size[order]
-        cluster = pd.factorize(pieces["cluster"])[0]
-        slot = pieces["doc_id"].fillna(-1).to_numpy(dtype=np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-        source = pd.factorize(pieces["source"])[0] * source_slots + (slot % np.uint64(source_slots)).astype(np.int64)
-        bins, offsets = pack_pieces(size.tolist(), source.tolist(), cluster.tolist(), capacity)
-        return pd.DataFrame({"doc_id": pieces["doc_id"].astype("Int64"), "piece": piece, "size": size, "shard": pieces["shard"], "bin": bins, "offset": offsets})
+        row, piece, size = row[order], piece[order], size[order]
+        cluster = np.unique(shard.column("cluster").to_numpy(), return_inverse=True)[1][row]
+        source = shard.column("source").combine_chunks().dictionary_encode().indices.to_numpy() * source_slots + shard.column("slot").to_numpy()
+        bins, offsets = pack_pieces(size.tolist(), source[row].tolist(), cluster.tolist(), capacity)
+        return pa.table({
+            "doc_id": shard.column("doc_id").take(pa.array(row)), "piece": pa.array(piece, pa.int32()), "first_token": pa.array(piece * capacity, pa.int64()), "size": pa.array(size, pa.int64()),
+            "shard": shard.column("shard").take(pa.array(row)), "bin": pa.array(bins, pa.int64()), "offset": pa.array(offsets, pa.int64()),
+        })
 
-    return rows.groupBy("shard").applyInPandas(pack, "doc_id long, piece int, size long, shard int, bin long, offset long")
+    return rows.groupBy("shard").applyInArrow(pack, "doc_id long, piece int, first_token long, size long, shard int, bin long, offset long")

@@ -1,16 +1,23 @@
 """SentencePiece encoding and decoding by shared-prefix Viterbi.
 
 The pieces and scores of a SentencePiece model are read from its file. A text gets the usual
-marked spaces, is cut into marked words (a run of marks and what follows; no piece crosses such a
-cut), and each distinct word is segmented into the pieces with the highest total score. Distinct
-words are sorted, which lays their trie out depth first: a word keeps the forward scores of the
-prefix it shares with the word before. Ties go to the longer last piece. Characters without a piece become
-byte pieces. Decoding joins the pieces' bytes.
+marked spaces and is cut into marked words (a run of marks and what follows; no piece crosses such a
+cut). Distinct words are sorted, which lays their trie out depth first: a word keeps the forward
+states of the prefix it shares with the word before. A state is the best way to end at a place,
+found from the states before and the pieces that end there:
+
+* Unigram models: scores are log-probabilities, and the way with the highest total wins; ties go to
+  the longer last piece.
+* BPE models: scores are ranks of merges, whose sum means nothing. Merging by rank gives each prefix
+  one last piece: the only piece ending there that the merges of (last piece of what is before it,
+  the piece) leave apart. So the same traversal with that test as its transition gives the ids of
+  the merges themselves, in one pass and without a queue of pairs.
+
+Characters without a piece become byte pieces. Decoding joins the pieces' bytes.
 """
 
 from __future__ import annotations
 
-import math
 import os
 import re
 import struct
@@ -33,6 +40,10 @@ WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Remembered words of a worker; bounds its memory, not what is encoded.
 CACHE_WORDS = 600_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
+#: Number of the model kind whose scores are merge ranks.
+BPE = 2
+#: Remembered pairs of pieces; bounds a worker's memory.
+CACHE_PAIRS = 2_000_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -79,8 +90,11 @@ class PieceModel:
     scores: dict[str, tuple[float, int]] = field(default_factory=dict)
     byte_ids: list[int] = field(default_factory=lambda: [0] * 256)
     prefix: bool = True
-    trie: dict = field(default_factory=dict)
+    merges: bool = False
+    #: trie of the reversed pieces: character -> [next characters, score, piece number or -1]
+    ends: dict = field(default_factory=dict)
     unknown: float = 0.0
+    apart: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -100,44 +114,75 @@ class PieceModel:
                     m.scores.setdefault(piece, (struct.unpack("<f", parts[2])[0] if 2 in parts else 0.0, len(m.pieces)))
                 m.pieces.append(piece)
                 m.kinds.append(kind)
+            elif number == 2:
+                m.merges = dict(_fields(value)).get(3, 1) == BPE
             elif number == 3:
                 m.prefix = bool(dict(_fields(value)).get(3, 1))
         if any(MARK in p.lstrip(MARK) for p in m.scores):
             raise ValueError("a piece crosses the start of a word; words can't be encoded one by one")
+        if m.merges and (USER in m.kinds or UNUSED in m.kinds):
+            raise ValueError("a BPE model with user-defined or unused pieces isn't supported")
         for piece, (score, number) in m.scores.items():
-            node = m.trie
-            for c in piece[:-1]:
+            node = m.ends
+            for c in piece[:0:-1]:
                 node = node.setdefault(c, [{}, 0.0, -1])[0]
-            last = node.setdefault(piece[-1], [{}, 0.0, -1])
-            last[1:] = score, number
+            node.setdefault(piece[0], [{}, 0.0, -1])[1:] = score, number
         m.unknown = min((s for s, _ in m.scores.values()), default=0.0) - UNKNOWN_PENALTY
         return m
 
+    def merged(self, text: str) -> list[str]:
+        """``text`` after all merges: the pair whose piece has the highest score first, then the leftmost."""
+        parts, scores = list(text), self.scores
+        while len(parts) > 1:
+            found = [(-scores[p][0], i) for i, p in enumerate(map(str.__add__, parts, parts[1:])) if p in scores]
+            if not found:
+                break
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    def stays_apart(self, left: str, right: str) -> bool:
+        """Whether the merges of two pieces' text end at these two pieces; '' is the start of a word."""
+        found = self.apart.get((left, right))
+        if found is None:
+            if len(self.apart) >= CACHE_PAIRS:
+                self.apart.clear()
+            found = self.apart[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+        return found
+
     def encode_words(self, words) -> dict[str, list[int]]:
         """Ids of each distinct word, visiting the words' trie depth first."""
-        root, unknown = self.trie, self.unknown
-        # for each prefix length: best score, best last piece, and open piece starts in the pieces' trie
-        best, back, opened = [0.0], [(0, -1)], [[(0.0, 0, root)]]
+        ends, unknown = self.ends, self.unknown
+        # for each prefix length: best score, and where its last piece starts and which it is
+        best, back = [0.0], [(0, -1)]
         before, out = "", {}
         for word in sorted(set(words)):
             shared = len(os.path.commonprefix((before, word)))
-            del best[shared + 1 :], back[shared + 1 :], opened[shared + 1 :]
+            del best[shared + 1 :], back[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                c = word[end - 1]
-                top, link, still = -math.inf, (end - 1, -1), []
-                for score, start, node in opened[end - 1]:
-                    found = node.get(c)
-                    if found is not None:
-                        if found[2] >= 0 and score + found[1] > top:
-                            top, link = score + found[1], (start, found[2])
-                        if found[0]:
-                            still.append((score, start, found[0]))
-                if (c not in root or root[c][2] < 0) and best[end - 1] + unknown > top:
-                    top, link = best[end - 1] + unknown, (end - 1, -1)
-                still.append((top, end, root))
-                best.append(top)
-                back.append(link)
-                opened.append(still)
+                node, found = ends, [(end - 1, -1, unknown)]
+                for start in range(end - 1, -1, -1):
+                    at = node.get(word[start])
+                    if at is None:
+                        break
+                    node, score, number = at
+                    if number >= 0:
+                        if start == end - 1:
+                            found.clear()
+                        found.append((start, number, score))
+                if self.merges:
+                    for start, number, score in reversed(found):
+                        if self.stays_apart(word[back[start][0] : start], word[start:end]) and self.stays_apart("", word[start:end]):
+                            break
+                    else:  # beyond the rule above, which holds for models made by merging
+                        last = self.merged(word[:end])[-1]
+                        start, number = end - len(last), self.scores.get(last, (0.0, -1))[1]
+                    best.append(0.0)
+                    back.append((start, number))
+                else:
+                    total, start, number = max((best[start] + score, -start, number) for start, number, score in found)
+                    best.append(total)
+                    back.append((-start, number))
             ids, end = [], len(word)
             while end:
                 start, piece = back[end]

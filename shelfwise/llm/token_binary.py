@@ -19,19 +19,22 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .common import bound_batches, buckets_for, new_path, span_hashes
+from .common import bound_batches, buckets_for, materialize, new_path, span_hashes, tidy
 
 MAGIC = b"SWIDS001"
 BLOCK_IDS = 4096
 END_ID = 2
 #: Texts of the input in one file, as stored.
 FILE_BYTES = 32 << 20
+#: Files whose starts are summed together.
+LOT = 1024
 #: Remembered segments of a worker; bounds its memory, not what is encoded.
 CACHE_SEGMENTS = 800_000
 
@@ -168,7 +171,7 @@ class SegmentEncoder:
     A byte-level tokenizer never joins what stands before a space with a space that a
     non-space character follows, nor a letter with a comma, full stop, colon or semicolon, so a
     text may be cut there and the parts' ids joined. Equal
-    segments of a call are found by 64-bit hashes of their bytes, remembered ones by the bytes.
+    segments of a call are found by hashes and compared byte by byte, remembered ones are found by the bytes.
     """
 
     def __init__(self, path: str):
@@ -200,7 +203,15 @@ class SegmentEncoder:
         cut[len(raw)] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
-        named, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        _, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        length = ends - starts
+        # segments lie end to end; each is held against the first of its hash, byte by byte
+        twin = np.repeat(starts[first[which]] - starts, length) + np.arange(len(raw))
+        if (length != length[first[which]]).any() or (raw != raw[np.minimum(twin, len(raw) - 1)]).any():
+            every = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+            number: dict[bytes, int] = {}
+            which = np.array([number.setdefault(p, len(number)) for p in every], dtype=np.int64)
+            first = np.unique(which, return_index=True)[1]
         parts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         known = self.known
         new = [p for p in parts if p not in known]
@@ -235,7 +246,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """Write ids of all documents below ``path``, in ascending doc_id order; returns the manifest.
 
     Manifest: part, file, n_docs, n_ids, start (ids before this file). Null texts are empty, null
-    doc_ids come first, equal doc_ids are ordered by text; each document ends with ``end_id``.
+    doc_ids come first, equal doc_ids are ordered by a hash of the text, then the text; each document ends with ``end_id``.
     Other columns are ignored. No rows in, no files out.
     """
     bound_batches(docs.sparkSession)
@@ -268,27 +279,35 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             fs.move(scratch, final)
             yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [n_docs], "n_ids": [n_ids]})
 
-    rows = (
-        docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-        .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    # a hot id is dealt by its texts' hashes
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    written = (
+        docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order, F.col("text").asc_nulls_first())
+        .select("doc_id", "text")
         .mapInArrow(run, "part long, n_docs long, n_ids long")
-        .toPandas()
-        .sort_values("part", ignore_index=True)
     )
-    rows["start"] = rows["n_ids"].cumsum() - rows["n_ids"]
-    rows["file"] = [f"{path}/part-{p:07d}.ids" for p in rows["part"]]
-    return docs.sparkSession.createDataFrame(rows.astype(object), "part long, n_docs long, n_ids long, start long, file string")
+    rows = materialize(written, "manifest").withColumn("lot", F.floor(F.col("part") / LOT))
+    # ids before a file: those of earlier lots of files, and of earlier files of its lot
+    lots = rows.groupBy("lot").agg(F.sum("n_ids").alias("lot_ids"))
+    before = Window.orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
+    lots = lots.select("lot", F.coalesce(F.sum("lot_ids").over(before), F.lit(0)).alias("lot_start"))
+    inside = Window.partitionBy("lot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(lots, "lot")
+    file = F.format_string(f"{path.replace('%', '%%')}/part-%07d.ids", "part")
+    return rows.select("part", "n_docs", "n_ids", (F.col("lot_start") + F.col("start")).cast("long").alias("start"), file.alias("file"))
 
 
 def read_tokens(manifest: DataFrame, chunk_ids: int = 1 << 20) -> DataFrame:
-    """One row for each stored document: doc_id, start, n_tokens, ids_crc32, read from the files."""
-    listed = [tuple(r) for r in manifest.select("file", "start").orderBy("start", "part").collect()]
+    """One row for each stored document: doc_id, start, n_tokens, ids_crc32, read from the files.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Null and repeated ids come back as they were written; an empty manifest gives no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in batch["id"]:
-                file, first = listed[i]
+            for file, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 reader = IdReader(file)
                 at, n = 0, len(reader.docs)
                 while at < n:
@@ -297,21 +316,50 @@ def read_tokens(manifest: DataFrame, chunk_ids: int = 1 << 20) -> DataFrame:
                     base = int(reader.starts[at])
                     ids = reader.ids(base, int(reader.starts[until])).astype("<u4")
                     crcs = [zlib.crc32(ids[reader.starts[k] - base : reader.starts[k + 1] - base].tobytes()) for k in range(at, until)]
-                    yield pd.DataFrame({
-                        "doc_id": pd.array(reader.docs[at:until], dtype="Int64").copy(),
-                        "gone": reader.nulls[at:until].astype(bool),
-                        "start": first + reader.starts[at:until],
-                        "n_tokens": reader.counts[at:until],
-                        "ids_crc32": crcs,
-                    })
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.asarray(reader.docs[at:until], dtype=np.int64), pa.int64(), mask=reader.nulls[at:until].astype(bool)),
+                            pa.array(first + reader.starts[at:until], pa.int64()), pa.array(np.asarray(reader.counts[at:until], dtype=np.int64), pa.int64()), pa.array(crcs, pa.int64()),
+                        ],
+                        names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                    )
                     at = until
                 reader.close()
 
-    spark = manifest.sparkSession
-    read = spark.range(0, len(listed), 1, max(1, len(listed))).mapInPandas(run, "doc_id long, gone boolean, start long, n_tokens long, ids_crc32 long")
-    return read.select(F.when(~F.col("gone"), F.col("doc_id")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    files = max(1, manifest.count())
+    return manifest.select("file", "start").repartition(files, "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def token_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str = "text", column: str = "n_tokens") -> DataFrame:
+    """``docs`` with the number of ids of ``text_col`` in place of the text; null texts have none."""
+    bound_batches(docs.sparkSession)
+    path = tokenizer or default_tokenizer()
+    docs = docs.drop(column)
+    others = [c for c in docs.columns if c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(path)
+        for batch in batches:
+            texts, at, counts = batch.column(len(others)), 0, []
+            while at < batch.num_rows:
+                some, size = [], 0
+                while at + len(some) < batch.num_rows and size < 1 << 21:
+                    some.append(texts[at + len(some)].as_buffer() or b"")
+                    size += len(some[-1])
+                counts.append(encoder.encode(some)[1])
+                at += len(some)
+            made = np.concatenate(counts) if counts else np.empty(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.int64())], names=[*others, column])
+
+    fields = [f for f in docs.schema.fields if f.name != text_col]
+    rows = docs.select(*others, F.col(text_col).cast("binary").alias("_text"))
+    return rows.mapInArrow(tidy(run), T.StructType([*fields, T.StructField(column, T.LongType())]))
 
 
 def token_round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """What ``read_tokens`` finds in the files that ``write_tokens`` has made of ``docs``, in the shared folder.
+
+    One row for each input row, null and repeated ids and null texts included; no rows in, none out.
+    """
     path = new_path(docs.sparkSession, "tokens")
     return read_tokens(write_tokens(docs, path, tokenizer, end_id))

@@ -249,35 +249,87 @@ def test_secret_of_one_kind_of_character():
 
 
 def test_guess_cost_is_minimal():
-    """The recurrence against every segmentation, with brute force and words only."""
-    def brute(v):
-        if not v:
-            return 0.0
-        costs = []
-        for n in range(1, len(v) + 1):
-            seg = sum(map(secrets._char_cost, v[:n]))
-            if v[:n] in secrets.RANK:
-                seg = min(seg, secrets.RANK[v[:n]])
-            costs.append(secrets.LOG_SEGMENT + seg + brute(v[n:]))
+    """The recurrence against the least of every segmentation into every kind of segment."""
+    step = secrets.LOG_SEGMENT
+
+    def segment(v):
+        costs = [sum(map(secrets._char_cost, v))]
+        if v in secrets.RANK:
+            costs.append(secrets.RANK[v])
+        if secrets.DATE.fullmatch(v):
+            costs.append(secrets.LOG_YEARS if len(v) == 4 else secrets.LOG_DAYS)
+        if len(v) >= 3 and all((x, y) in secrets.NEXT for x, y in zip(v, v[1:])):
+            costs.append(secrets.LOG_KEYS + math.log10(len(v)))
+        for p in range(1, len(v) // 2 + 1):
+            if len(v) % p == 0 and v == v[:p] * (len(v) // p) and (p > 1 or len(v) > 2):
+                costs.append((secrets._char_cost(v) if p == 1 else brute(v[:p])) + math.log10(len(v) // p))
         return min(costs)
 
-    for v in ("xadminz", "testkeyq", "zmoneyx", "rootrun"):
-        assert math.isclose(secrets.log_guesses(v), brute(v))
+    known = {"": 0.0}
+
+    def brute(v):
+        if v not in known:
+            known[v] = min(step + segment(v[:n]) + brute(v[n:]) for n in range(1, len(v) + 1))
+        return known[v]
+
+    rng = random.Random(12)
+    parts = ["admin", "test", "key", "asdf", "qwe", "1984", "19840712", "ab", "aaa", "xyz", "z", "7", "!", "poi", "q"]
+    values = ["xadminz", "testkeyq", "abababab", "abcabcabcabc", "aaaa1984aaaa1984", "qwertyqwerty", "asasasas", "qwqwqwqwqw", "testtesttesttest"]
+    values += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 5)))[:18] for _ in range(150)] + ["".join(rng.choice("abqw1") for _ in range(rng.randint(1, 14))) for _ in range(150)]
+    for v in values:
+        assert math.isclose(secrets.log_guesses(v), brute(v)), v
+        assert min(secrets.log_guesses(v, 6.0), 6.0) == pytest.approx(min(brute(v), 6.0))
+    long = "correcthorsebatterystaple" * 40
+    assert secrets.log_guesses("z" * 3000) < 6 and secrets.log_guesses("qw" * 1500) < 7 and secrets.log_guesses(long, 10.0) >= 10
+    words = secrets.ranked(["correct", "horse", "battery", "staple"])
+    assert secrets.log_guesses("correcthorse", ranks=words) < 6 < secrets.log_guesses("correcthorse")
+
+
+def test_corpus_words(spark):
+    rows = [(1, "apple banana apple, Apple"), (2, None), (3, "banana password: qzvxjkwpmbtrlf"), (4, "password: qzvxjkwpmbtrlf")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert secrets.corpus_words(df) == ["apple", "banana", "password"] and secrets.corpus_words(df, most=1) == ["apple"]
+    assert secrets.corpus_words(df.limit(0)) == []
+
+
+def test_secret_rows(spark):
+    """Ids beyond 2**53 beside nulls, repeated ids, clashing columns, and tables without rows."""
+    big = 9007199254740993
+    rows = [(big, "token=abcdefgh1", "x"), (None, "token=abcdefgh2", "y"), (big, None, "z"), (1, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    got = secrets.digest(secrets.secret_spans(df)).collect()
+    assert sorted((str(r["doc_id"]), r["n_assign"]) for r in got) == sorted([(str(big), 1), ("None", 1), (str(big), 0), ("1", 0)])
+    kept = sorted((str(r["doc_id"]), str(r["text"]), str(r["spans"])) for r in secrets.redact(df).collect())
+    assert kept == sorted([(str(big), "token=[secret]", "x"), ("None", "token=[secret]", "y"), (str(big), "None", "z"), ("1", "", "None")])
+    assert secrets.redact(df.limit(0)).collect() == [] and secrets.digest(secrets.secret_spans(df.limit(0))).collect() == []
+    assert [s[0] for s in secrets.scan_text("pwd" + " " * 9 + "=" + " " * 9 + "xK9#mQ2$vL7!")] == ["guess"]
 
 
 def test_packing(spark, docs):
-    out = packing.best_fit_pack(docs, capacity=64).collect()
-    size = {r[0]: -(-len((r[1] or "").encode()) // 4) + 1 for r in corpus()}
-    cluster = {r[0]: low(r[1]) for r in corpus()}
-    total, bins = {}, {}
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_binary.default_tokenizer())
+    out = packing.best_fit_pack(docs, capacity=64, source_slots=1).collect()
+    size = {r[0]: len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in corpus()}
+    cluster, source = {r[0]: low(r[1]) for r in corpus()}, {r[0]: r[3] or "" for r in corpus()}
+    total, bins, ranges = {}, {}, {}
     for r in out:
         total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["size"]
+        ranges.setdefault(r["doc_id"], []).append((r["first_token"], r["size"]))
         bins.setdefault((r["shard"], r["bin"]), []).append(r)
     assert total == size
+    for parts in ranges.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
     for held in bins.values():
         held.sort(key=lambda r: r["offset"])
         assert all(a["offset"] + a["size"] == b["offset"] for a, b in zip(held, held[1:])) and held[0]["offset"] == 0 and held[-1]["offset"] + held[-1]["size"] <= 64
-        assert len({cluster[r["doc_id"]] for r in held}) == len(held)
+        assert len({cluster[r["doc_id"]] for r in held}) == len(held) == len({source[r["doc_id"]] for r in held})
+    big = 9007199254740993
+    odd = spark.createDataFrame([(big, "a", None, 1), (None, "a", "s", 1), (None, "a", "s", 1), (big, None, "t", 1), (7, "", "t", 1)], "doc_id long, text string, source string, bin int")
+    got = packing.best_fit_pack(odd).collect()
+    assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted([(str(big), 2), ("None", 2), ("None", 2), (str(big), 1), ("7", 1)])
+    assert packing.best_fit_pack(odd.limit(0)).collect() == []
 
 
 def test_best_fit_is_the_tightest():
@@ -317,7 +369,7 @@ def test_toxicity(spark):
     assert toxicity.score(docs, toxicity.train(docs, marks.limit(0))).count() == len(rows)
 
 
-def test_pieces_against_the_library():
+def test_unigram_pieces_against_the_library():
     import sentencepiece
 
     def field(number, value):
@@ -336,7 +388,7 @@ def test_pieces_against_the_library():
         if number == 2:  # the trainer's settings: read the pieces as a unigram model
             value = b"".join(field(n, 1 if n == 3 else v) for n, v in pieces._fields(value) if isinstance(v, int) or len(v) != 4)
         parts += field(number, value)
-    library, model = sentencepiece.SentencePieceProcessor(model_proto=parts), pieces.PieceModel.load(path)
+    library, model = sentencepiece.SentencePieceProcessor(model_proto=parts), pieces.PieceModel.parse(parts)
     score = {i: library.get_score(i) for i in range(library.vocab_size())}
     rng = random.Random(9)
     words = ["the", "theathat", "unbelievable", "wörter", *("".join(rng.choice("aehinrst") for _ in range(rng.randint(1, 14))) for _ in range(300))]
@@ -346,6 +398,23 @@ def test_pieces_against_the_library():
         assert sum(score[i] for i in ids["▁" + w]) == sum(score[i] for i in want), w
 
 
+def test_pieces_equal_the_library(spark, docs):
+    """The model's own ids, for whole documents and for words of few letters, many marks and odd characters."""
+    import sentencepiece
+
+    library, model = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model()), pieces.PieceModel.load(pieces.default_model())
+    rng = random.Random(13)
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for letters in ("aehinrst ", "ab", "xyz01 .,", "日本語é🎉 a", "thTH e\n\t") for _ in range(300)]
+    texts += ["x" * 3000, "ab" * 2000, "    lead", "trail   ", "a  b"]
+    encoder = pieces.CachingEncoder(model)
+    for t, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == library.encode(t), t[:80]
+    want = sum(len(library.encode(r[1] or "")) for r in corpus())
+    assert pieces.digest(pieces.encode(docs)).agg(F.sum("n_tokens")).first()[0] == want
+    assert pieces.digest(pieces.encode(docs.limit(0))).collect() == []
+
+
 def test_pieces_round_trip(spark, docs):
     texts = [None, "", " ", "a", "  two  spaces ", "línea\nnueva\t", "日本語 text 🎉", "\x00\x01", "▁mark"] + [r[1] for r in corpus()]
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
