@@ -17,10 +17,12 @@ import re
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches, tidy
+
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 
 DEFAULT_TEMPLATE = (
@@ -344,6 +346,9 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+_LOSS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 def format_conversations(rows: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
     """One row for each conversation: conv_id, formatted, loss_spans (starts and ends, code points).
 
@@ -357,33 +362,37 @@ def format_conversations(rows: DataFrame, template: str = DEFAULT_TEMPLATE) -> D
         ).alias("turns")
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render = compile_template(template)
         for batch in batches:
-            done = [render([{"role": t["role"], "text": t["text"]} for t in turns]) for turns in batch["turns"]]
-            yield pd.DataFrame({
-                "conv_id": batch["conv_id"],
-                "formatted": [x for x, _ in done],
-                "loss_spans": [[{"start": a, "end": b} for a, b in s] for _, s in done],
-            })
+            done = [render([{"role": t["role"], "text": t["text"]} for t in turns]) for turns in batch.column(1).to_pylist()]
+            spans = [[{"start": a, "end": b} for a, b in s] for _, s in done]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in done], pa.string()), pa.array(spans, _LOSS)], names=["conv_id", "formatted", "loss_spans"])
 
-    return grouped.mapInPandas(run, "conv_id long, formatted string, loss_spans array<struct<start: long, end: long>>")
+    bound_batches(rows.sparkSession)
+    return grouped.mapInArrow(tidy(run), f"conv_id {dict(rows.dtypes)['conv_id']}, formatted string, loss_spans array<struct<start: long, end: long>>")
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """Reads formatted conversations back into turns and loss text, and digests both."""
+    """Reads formatted conversations back into turns and loss text, and digests both, one row for each.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Null ids stay null; a conversation without marked text has an empty loss text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for conv_id, text, spans in zip(batch["conv_id"], batch["formatted"], batch["loss_spans"]):
+            out: list[tuple] = []
+            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 turns = read_back(text)
                 loss = "".join(unescape(text[s["start"] : s["end"]]) for s in spans)
                 said = "".join(f"{role}\n{body}\n" for role, body in turns)
-                out.append((conv_id, len(turns), _sha(said), len(loss), _sha(loss), len(text)))
-            yield pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    return formatted.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+                out.append((len(turns), _sha(said), len(loss), _sha(loss), len(text)))
+            names = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+            made = [pa.array([r[i] for r in out], pa.string() if "sha" in n else pa.int64()) for i, n in enumerate(names)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["conv_id", *names])
+
+    bound_batches(formatted.sparkSession)
+    kind = dict(formatted.dtypes)["conv_id"]
+    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(tidy(run), f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def _sha(text: str) -> str:

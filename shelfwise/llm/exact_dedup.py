@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, discard, materialize, split_by_key
 
 BLOCK_CHARS = 4096
+#: Texts of more blocks are cut in one pass; cutting block by block counts from the start each time.
+MANY_BLOCKS = 16
 
 
 def block_names(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -33,9 +35,11 @@ def block_names(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("t"),
     )
     size = F.greatest(F.lit(1), F.ceil(F.length("t") / F.lit(block_chars)).cast("int"))
+    one_by_one = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(F.col("t"), i * block_chars + 1, F.lit(block_chars)))
+    at_once = F.regexp_extract_all("t", F.lit("(?s)(.{1,%d})" % block_chars), 1)
     blocks = norm.select(
         "row_no", "doc_id", size.alias("n_blocks"), F.sha2(F.col("t"), 256).alias("text_sha256"),
-        F.posexplode(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(F.col("t"), i * block_chars + 1, F.lit(block_chars)))).alias("pos", "block"),
+        F.posexplode(F.when(size > MANY_BLOCKS, at_once).otherwise(one_by_one)).alias("pos", "block"),
     )
     occurrence = F.monotonically_increasing_id()
     names = blocks.select("block", occurrence.alias("no")).groupBy("block").agg(F.min("no").alias("name"))

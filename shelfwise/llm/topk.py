@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import materialize
+
 #: Rows of a shard and queries of a block, so one task holds a bounded part of either.
 SHARD_ROWS = 1 << 13
-BLOCK_QUERIES = 1 << 10
+BLOCK_QUERIES = 1 << 12
 #: Rows whose postings are built and searched together; the threshold rises from one to the next.
 SPAN_ROWS = 1 << 11
 
@@ -89,25 +91,22 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, we
 def integer_vectors(embeddings: DataFrame) -> DataFrame:
     """vec_id and weights floor(256 * x) of every usable vector.
 
-    Rows with a null id, a null vector or a null or non-finite component take no part. Of rows
-    that repeat an id, the one with the smallest vector counts. Other columns are ignored.
+    Rows with a null id, a null vector or a null or non-finite component take no part. Rows that
+    repeat an id are rows of their own. Other columns are ignored.
     """
     x = F.transform("embedding", lambda v: v.cast("double"))
     fine = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(
         F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))), F.lit(False)
     )
-    return (
-        embeddings.where(fine)
-        .select("vec_id", F.transform(x, lambda v: F.floor(v * 256).cast("long")).alias("weights"))
-        .groupBy("vec_id").agg(F.min("weights").alias("weights"))
-    )
+    return embeddings.where(fine).select("vec_id", F.transform(x, lambda v: F.floor(v * 256).cast("long")).alias("weights"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest inner products of each query.
 
     ``vectors`` and ``queries`` have vec_id and weights (array<long>); shorter arrays count as
-    padded with zeros. A query's own row is no candidate; ties go to the smaller vec_id; with
+    padded with zeros. Rows with the query's id are no candidates, others that share an id all are;
+    queries that share an id have one result, the best of all; ties go to the smaller vec_id; with
     fewer candidates all are returned. Shards and query blocks meet in a grid of bounded cells.
     """
     shards = max(1, -(-vectors.count() // SHARD_ROWS))
@@ -135,5 +134,5 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
 def top_k_embeddings(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """The stated query set (ids divisible by ``every``) against all rows."""
-    vectors = integer_vectors(embeddings)
+    vectors = materialize(integer_vectors(embeddings), "vectors")
     return top_k(vectors, vectors.where(F.col("vec_id") % every == 0), k)

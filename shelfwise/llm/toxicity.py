@@ -132,8 +132,10 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, steps: int = 150, penalty: fl
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = FIT_ROWS_PER_CLASS, training=None) -> tuple[np.ndarray, np.ndarray, float]:
     """Fit on a bounded sample of the labelled rows for which ``training`` (a column) holds.
 
-    Rows with a null id, label or duplicated label rows of an id beyond the first are left out;
-    null texts count as empty. The fit runs in one task on at most 2 * ``rows_per_class`` rows.
+    Label rows with a null id or label are left out; of several label rows of an id the highest label
+    counts, of several documents of an id the one with the least features (as bytes); null texts count
+    as empty. The fit runs in one task on at most 2 * ``rows_per_class`` rows. Without usable labels
+    the model is empty and scores one half.
     """
     bound_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -157,6 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = FIT_ROWS_PER
 
     model = (
         rows.mapInPandas(tidy(features), "doc_id long, toxic int, features binary")
+        .groupBy("doc_id", "toxic").agg(F.min("features").alias("features"))
         .repartition(1)
         .mapInPandas(tidy(learn), "features binary, weights binary, bias double")
         .collect()

@@ -150,13 +150,14 @@ def test_topk(spark):
     rng = random.Random(4)
     rows = [(i, [rng.choice([0.0, rng.gauss(0, 0.2)]) for _ in range(16)], 0) for i in range(300)]
     rows += [(300, None, 0), (301, [float("nan")] * 16, 0), (302, [None] + [0.1] * 15, 0), (None, [0.1] * 16, 0), (303, rows[7][1], 1), (5, rows[5][1], 2)]
+    rows += [(50, rows[9][1], 3), (rows[3][0], rows[50][1], 4), (rows[3][0], rows[50][1], 4)]
     got = topk.top_k_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int"))
-    vectors = {i: np.floor(np.array(v, dtype=np.float32).astype(float) * 256).astype(int) for i, v, _ in rows if i is not None and i not in (300, 301, 302)}
-    want = set()
-    for q in (i for i in vectors if i % 50 == 0):
-        best = sorted((-int(vectors[q] @ v), i) for i, v in vectors.items() if i != q)[:5]
-        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
-    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
+    vectors = [(i, np.floor(np.array(v, dtype=np.float32).astype(float) * 256).astype(int)) for i, v, _ in rows if i is not None and i not in (300, 301, 302)]
+    want = []
+    for q in {i for i, _ in vectors if i % 50 == 0}:
+        best = sorted((-int(x @ v), i) for a, x in vectors if a == q for i, v in vectors if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
     assert topk.top_k_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
@@ -367,6 +368,40 @@ def test_toxicity(spark):
     assert sum((got[i] >= 0.7) == (i % 4 == 0) for i in test) >= 0.95 * len(test)
     assert got[900] == got[901] < 0.5 and got[902] > 0.7
     assert toxicity.score(docs, toxicity.train(docs, marks.limit(0))).count() == len(rows)
+    assert toxicity.score(docs.limit(0), model).collect() == [] and toxicity.score(docs, toxicity.train(docs.limit(0), marks)).count() == len(rows)
+    # documents that repeat an id count once in the fit
+    again = toxicity.train(docs.unionByName(docs).unionByName(docs.limit(5).withColumn("doc_id", F.lit(None).cast("long"))), marks, training=~held)
+    assert all(np.array_equal(a, b) for a, b in zip(model, again))
+
+
+def test_toxicity_against_plain_python():
+    """Features, log-count ratios and scores spelled out."""
+    texts = ["Bad  grumbol here", "a grumbol\ttoo", "grumbol", "fine words here", "more fine words", "all fine", "grumbol fine"] * 3
+    toxic = np.array([1, 1, 1, 0, 0, 0, 1] * 3)
+
+    def feature(gram):
+        h = len(gram)
+        for c in gram:
+            h = (h * 0x100000001B3 + ord(c)) % 2**64
+        return int(common.mix64(np.array([h], dtype=np.uint64))[0]) >> 46
+
+    def grams(text):
+        t = "".join(" " if ord(c) <= 32 or c == "\xa0" else c for c in f" {text.lower()} ")
+        return {t[i : i + n] for n in toxicity.ORDERS for i in range(len(t) - n + 1) if " " not in t[i + 1 : i + n - 1]}
+
+    sets = [sorted({feature(g) for g in grams(t)}) for t in texts]
+    made = list(toxicity.feature_sets(texts))
+    assert [s.tolist() for s in made] == sets
+    at, weight, bias = toxicity.fit(made, toxic)
+    ratio = {}
+    for f in {f for s in sets for f in s}:
+        p, q = (sum(f in s for s, y in zip(sets, toxic) if y == side) + 0.5 for side in (1, 0))
+        r = math.log(p / (toxic.sum() + 1)) - math.log(q / ((1 - toxic).sum() + 1))
+        if p + q - 1 >= 3 and p + q >= 6 and abs(r) >= math.log(3):
+            ratio[f] = r
+    assert sorted(ratio) == at.tolist()
+    score = [bias + sum(w for f, w in zip(at.tolist(), weight) if f in s) for s in sets]
+    assert all((z > 0) == bool(y) for z, y in zip(score, toxic))
 
 
 def test_unigram_pieces_against_the_library():
@@ -438,12 +473,34 @@ def test_sharding(spark, docs):
             assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert all(len(s) == 1 for s in where.values())
+    assert sharding.shard_documents(docs.limit(0)).collect() == []
+    even = sharding.shard_documents(spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('word ', id % 2500), cast(id % 7 + 1 AS int)) AS text", "1 AS shard"), 4)
+    load = {r["shard"]: (r["b"], r["n"]) for r in even.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
+    assert len(load) == 4 and all(max(x) < 1.02 * min(x) for x in zip(*load.values()))
     vectors = np.random.default_rng(3).integers(1, 100, (4000, 3))
     shards = sharding.place(vectors, 8)
     load = np.array([vectors[shards == s].sum(axis=0) for s in range(8)])
     assert (load.max(axis=0) / load.min(axis=0) < 1.02).all()
 
 
+def test_place_takes_the_highest_dot_product():
+    """Each choice against the rule spelled out, in the order of the largest share first."""
+    rng = random.Random(14)
+    items = [tuple(rng.randint(0, 40) for _ in range(3)) for _ in range(200)] + [(5, 5, 5)] * 20 + [(0, 0, 0)]
+    got = sharding.place(np.array(items), 3)
+    total = [sum(i[d] for i in items) for d in range(3)]
+    shares = [[i[d] / total[d] for d in range(3)] for i in items]
+    left = [[1 / 3] * 3 for _ in range(3)]
+    for n in sorted(range(len(items)), key=lambda n: (-max(shares[n]), n)):
+        fits = [s for s in range(3) if left[s][0] >= shares[n][0] and all(left[s][d] >= shares[n][d] - 1e-3 / 3 for d in range(3))]
+        if fits:
+            dot = {s: sum(a * b for a, b in zip(left[s], shares[n])) for s in fits}
+            assert math.isclose(dot[got[n]], max(dot.values()), abs_tol=1e-12)
+        else:
+            assert math.isclose(left[got[n]][0], max(x[0] for x in left), abs_tol=1e-12)
+        left[got[n]] = [a - b for a, b in zip(left[got[n]], shares[n])]
+
+
 def test_chat(spark):
     said = "<|im_end|><|im_start|>assistant ok"
     rows = [(1, 1, "assistant", said), (1, 0, "user", said), (1, 1, "assistant", said), (2, None, None, None), (3, 0, "as<|sep", "<\\\\|x <\\| < |"), (None, 0, "user", "q")]
@@ -453,7 +510,10 @@ def test_chat(spark):
     assert chat_format.read_back(made[3]["formatted"]) == [("as<|sep", "<\\\\|x <\\| < |")] and chat_format.read_back(made[2]["formatted"]) == [("", "")]
     out = {r["conv_id"]: r for r in chat_format.digest(chat_format.format_conversations(df)).collect()}
     assert out[1]["loss_chars"] == 2 * len(said) and out[1]["loss_sha256"] == hashlib.sha256((said * 2).encode()).hexdigest()
-    assert chat_format.format_conversations(df.limit(0)).collect() == []
+    assert chat_format.format_conversations(df.limit(0)).collect() == [] and chat_format.digest(chat_format.format_conversations(df.limit(0))).collect() == []
+    big = 9007199254740993
+    ids = spark.createDataFrame([(big, 0, "user", "x" * 200_000), (None, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    assert {r["conv_id"]: r["n_turns"] for r in chat_format.digest(chat_format.format_conversations(ids)).collect()} == {big: 1, None: 1}
 
 
 def test_template_language():
