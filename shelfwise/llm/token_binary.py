@@ -35,8 +35,10 @@ END_ID = 2
 FILE_BYTES = 32 << 20
 #: Files whose starts are summed together.
 LOT = 1024
+#: Bytes of text that are encoded together.
+CHUNK_BYTES = 1 << 20
 #: Remembered segments of a worker; bounds its memory, not what is encoded.
-CACHE_SEGMENTS = 800_000
+CACHE_SEGMENTS = 200_000
 
 
 def default_tokenizer() -> str:
@@ -269,7 +271,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             at = 0
             while at < len(ids):
                 some, size = [], 0
-                while at + len(some) < len(ids) and size < 1 << 21:
+                while at + len(some) < len(ids) and size < CHUNK_BYTES:
                     some.append(texts[at + len(some)].as_buffer() or b"")
                     size += len(some[-1])
                 writer.add(ids[at : at + len(some)], *with_end(*encoder.encode(some), end_id))
@@ -343,7 +345,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str =
             texts, at, counts = batch.column(len(others)), 0, []
             while at < batch.num_rows:
                 some, size = [], 0
-                while at + len(some) < batch.num_rows and size < 1 << 21:
+                while at + len(some) < batch.num_rows and size < CHUNK_BYTES:
                     some.append(texts[at + len(some)].as_buffer() or b"")
                     size += len(some[-1])
                 counts.append(encoder.encode(some)[1])
