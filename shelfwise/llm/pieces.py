@@ -18,6 +18,7 @@ Characters without a piece become byte pieces. Decoding joins the pieces' bytes.
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import struct
@@ -40,6 +41,7 @@ WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Remembered words of a worker; bounds its memory, not what is encoded.
 CACHE_WORDS = 600_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
+NO_PIECE = (-math.inf, -1)
 #: Number of the model kind whose scores are merge ranks.
 BPE = 2
 #: Remembered pairs of pieces; bounds a worker's memory.
@@ -94,7 +96,8 @@ class PieceModel:
     #: trie of the reversed pieces: character -> [next characters, score, piece number or -1]
     ends: dict = field(default_factory=dict)
     unknown: float = 0.0
-    apart: dict[tuple[str, str], bool] = field(default_factory=dict)
+    apart: dict[int, bool] = field(default_factory=dict)
+    made: dict[str, bool] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -133,65 +136,108 @@ class PieceModel:
     def merged(self, text: str) -> list[str]:
         """``text`` after all merges: the pair whose piece has the highest score first, then the leftmost."""
         parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            found = [(-scores[p][0], i) for i, p in enumerate(map(str.__add__, parts, parts[1:])) if p in scores]
-            if not found:
+        pairs = [scores.get(a + b, NO_PIECE)[0] for a, b in zip(parts, parts[1:])]
+        while pairs:
+            top = max(pairs)
+            if top == -math.inf:
                 break
-            i = min(found)[1]
+            i = pairs.index(top)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = scores.get(parts[i - 1] + parts[i], NO_PIECE)[0]
+            if i < len(pairs):
+                pairs[i] = scores.get(parts[i] + parts[i + 1], NO_PIECE)[0]
         return parts
 
     def stays_apart(self, left: str, right: str) -> bool:
-        """Whether the merges of two pieces' text end at these two pieces; '' is the start of a word."""
-        found = self.apart.get((left, right))
-        if found is None:
-            if len(self.apart) >= CACHE_PAIRS:
-                self.apart.clear()
-            found = self.apart[left, right] = self.merged(left + right) == ([left, right] if left else [right])
-        return found
+        """Whether ``right`` is a piece that merges make, and the merges of both end at these two; '' is the start of a word."""
+        own = self.made.get(right)
+        if own is None:
+            own = self.made[right] = self.merged(right) == [right]
+        return own and (not left or self.merged(left + right) == [left, right])
 
     def encode_words(self, words) -> dict[str, list[int]]:
         """Ids of each distinct word, visiting the words' trie depth first."""
+        return self._merge_words(words) if self.merges else self._score_words(words)
+
+    def _ids(self, word: str, starts: list[int], numbers: list[int]) -> list[int]:
+        """Ids of the way to the end of ``word``, given the last piece of each prefix and where it starts."""
+        ids, end = [], len(word)
+        while end:
+            if numbers[end] >= 0:
+                ids.append(numbers[end])
+            else:
+                ids.extend(self.byte_ids[b] for b in reversed(word[starts[end] : end].encode("utf-8", "surrogatepass")))
+            end = starts[end]
+        return ids[::-1]
+
+    def _score_words(self, words) -> dict[str, list[int]]:
+        """Unigram: the way of the highest score."""
         ends, unknown = self.ends, self.unknown
-        # for each prefix length: best score, and where its last piece starts and which it is
-        best, back = [0.0], [(0, -1)]
+        best, starts, numbers = [0.0], [0], [-1]
         before, out = "", {}
         for word in sorted(set(words)):
             shared = len(os.path.commonprefix((before, word)))
-            del best[shared + 1 :], back[shared + 1 :]
+            del best[shared + 1 :], starts[shared + 1 :], numbers[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                node, found = ends, [(end - 1, -1, unknown)]
+                node, found = ends, []
                 for start in range(end - 1, -1, -1):
                     at = node.get(word[start])
                     if at is None:
                         break
                     node, score, number = at
                     if number >= 0:
-                        if start == end - 1:
-                            found.clear()
-                        found.append((start, number, score))
-                if self.merges:
-                    for start, number, score in reversed(found):
-                        if self.stays_apart(word[back[start][0] : start], word[start:end]) and self.stays_apart("", word[start:end]):
-                            break
-                    else:  # beyond the rule above, which holds for models made by merging
-                        last = self.merged(word[:end])[-1]
-                        start, number = end - len(last), self.scores.get(last, (0.0, -1))[1]
-                    best.append(0.0)
-                    back.append((start, number))
-                else:
-                    total, start, number = max((best[start] + score, -start, number) for start, number, score in found)
-                    best.append(total)
-                    back.append((-start, number))
-            ids, end = [], len(word)
-            while end:
-                start, piece = back[end]
-                if piece >= 0:
-                    ids.append(piece)
-                else:
-                    ids.extend(self.byte_ids[b] for b in reversed(word[start:end].encode("utf-8", "surrogatepass")))
-                end = start
-            out[word] = ids[::-1]
+                        found.append((best[start] + score, -start, number))
+                if not found or found[0][1] != 1 - end:
+                    found.append((best[end - 1] + unknown, 1 - end, -1))
+                total, start, number = max(found)
+                best.append(total)
+                starts.append(-start)
+                numbers.append(number)
+            out[word] = self._ids(word, starts, numbers)
+            before = word
+        return out
+
+    def _merge_words(self, words) -> dict[str, list[int]]:
+        """BPE: the only last piece of each prefix that merges leave apart from the one before it."""
+        ends, apart, size = self.ends, self.apart, len(self.pieces)
+        if len(apart) >= CACHE_PAIRS:
+            apart.clear()
+        starts, numbers = [0], [-1]
+        before, out = "", {}
+        for word in sorted(set(words)):
+            shared = len(os.path.commonprefix((before, word)))
+            del starts[shared + 1 :], numbers[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                node, found, start = ends, [], end
+                while start:
+                    start -= 1
+                    at = node.get(word[start])
+                    if at is None:
+                        break
+                    node = at[0]
+                    if at[2] >= 0:
+                        found.append((start, at[2]))
+                if not found or found[0][0] != end - 1:
+                    found.insert(0, (end - 1, -1))
+                for start, number in reversed(found):
+                    left = numbers[start]
+                    if number >= 0 and (left >= 0 or not start):
+                        key = (left + 1) * size + number
+                        fits = apart.get(key)
+                        if fits is None:
+                            fits = apart[key] = self.stays_apart(word[starts[start] : start], word[start:end])
+                    else:  # beside a character without a piece
+                        fits = self.stays_apart(word[starts[start] : start], word[start:end])
+                    if fits:
+                        break
+                else:  # beyond the rule above, which holds for models made by merging
+                    last = self.merged(word[:end])[-1]
+                    start, number = end - len(last), self.scores.get(last, (0.0, -1))[1]
+                starts.append(start)
+                numbers.append(number)
+            out[word] = self._ids(word, starts, numbers)
             before = word
         return out
 
