@@ -1,36 +1,47 @@
-"""A corpus pipeline of five stages, each an operator of the ``llm`` subpackage."""
+"""A corpus pipeline of five stages, each an operator of the ``llm`` subpackage.
+
+Every stage takes the rows that its predecessor kept and returns them with the columns of documents,
+but for the last, which returns the places of their pieces. In every stage a null text counts as
+empty, rows without an id stay rows of their own, rows that repeat an id are told apart, extra
+columns stay as they are, and an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import exact_dedup, ngram_join, packing, secrets, toxicity
-from shelfwise.llm.common import materialize, table
+from shelfwise.llm.common import discard, materialize, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold."""
+    """Documents whose toxicity score is below the threshold; a score on it is rejected, empty texts stay.
+
+    The classifier is fitted on labelled rows of ``docs``; without any all documents stay.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, "_toxicity").where(f"_toxicity < {toxicity.THRESHOLD}").drop("_toxicity")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last document of each group of equal texts."""
+    """Of each group of equal texts (A-Z lower-cased) the row with the largest id, null ids being least;
+    of rows that repeat id and text one. Null and empty texts are one group."""
     return exact_dedup.keep_exact(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of near copies."""
+    """Of each component of near copies the row with the smallest id, null ids being last; of rows with that
+    id the one with the least text hash. Texts without words have no near copies and all stay."""
     return ngram_join.keep_one(docs)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by a mark."""
+    """All documents, secret values in their texts replaced by a mark; null texts stay null."""
     return secrets.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in a training sequence."""
+    """The place of every piece of every document in a training sequence; an empty text has its end token alone."""
     return packing.best_fit_pack(docs)
 
 
@@ -47,7 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table of documents; what a stage has kept is written, and the one before deleted."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

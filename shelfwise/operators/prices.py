@@ -14,12 +14,12 @@ def share(part: Column, whole: Column, places: int = 1) -> Column:
 
 
 def current_prices(obs: DataFrame) -> DataFrame:
-    """Per product and store the eligible, then latest, then cheapest observation.
+    """Per product and store the eligible, then latest, then cheapest observation; undated ones last.
 
     A partial minimum of one struct, so no group of observations is ever gathered or sorted.
     """
     order = F.struct(
-        (~F.col("eligible")).alias("late"), (-F.unix_micros(F.col("observed_at").cast("timestamp"))).alias("age"),
+        (~F.col("eligible")).alias("late"), F.col("observed_at").isNull().alias("undated"), (-F.unix_micros(F.col("observed_at").cast("timestamp"))).alias("age"),
         "price_cents", "price_basis", "on_sale", "eligible", "observed_at",
     )
     best = obs.groupBy("product_id", "store_id").agg(F.min(order).alias("b"))
@@ -32,9 +32,9 @@ def store_pairs(stores: DataFrame) -> DataFrame:
     return a.join(b, F.col("store_a") < F.col("store_b"))
 
 
-def by_product(current: DataFrame, stores: tuple[str, ...]) -> DataFrame:
-    """One row per product with a cents column for each store; eligible prices only."""
-    return current.where("eligible").groupBy("product_id").agg(*[F.min(F.when(F.col("store_id") == s, F.col("price_cents"))).alias(s) for s in stores])
+def by_product(current: DataFrame, stores: tuple[str, ...], any_price: bool = False) -> DataFrame:
+    """One row per product with a cents column for each store; eligible prices only, or any."""
+    return (current if any_price else current.where("eligible")).groupBy("product_id").agg(*[F.min(F.when(F.col("store_id") == s, F.col("price_cents"))).alias(s) for s in stores])
 
 
 def pairwise_basket(current: DataFrame, stores: tuple[str, ...]) -> DataFrame:
@@ -157,16 +157,86 @@ def sanitize_basket(basket: DataFrame, products: DataFrame, most: int = 99) -> D
     return fine.join(products.select("product_id"), "product_id", "left_semi")
 
 
-def compare_basket(basket: DataFrame, current: DataFrame, stores: tuple[str, ...]) -> DataFrame:
-    """Total of the basket at each store, complete baskets first, then fewer missing, cheaper, store order."""
+def compare_basket(basket: DataFrame, current: DataFrame, stores: tuple[str, ...], list_missing: bool = False) -> DataFrame:
+    """B2: total of the basket at each store, complete baskets first, then fewer missing, cheaper, store order.
+
+    ``list_missing`` adds the products that a store lacks, in order; a shopper's basket is small.
+    """
     wide = basket.join(by_product(current, stores), "product_id", "left")
     one = F.explode(F.array(*[F.struct(F.lit(s).alias("store_id"), F.lit(i).alias("place"), F.col(s).alias("price")) for i, s in enumerate(stores)]))
-    each = wide.select("quantity", one.alias("p")).select("quantity", "p.*")
+    each = wide.select("product_id", "quantity", one.alias("p")).select("product_id", "quantity", "p.*")
+    lacking = [F.sort_array(F.collect_list(F.when(F.col("price").isNull(), F.col("product_id")))).alias("missing_ids")] if list_missing else []
     total = each.groupBy("store_id", "place").agg(
-        F.coalesce(F.sum(F.col("price") * F.col("quantity")), F.lit(0)).cast("long").alias("total_cents"), F.count_if(F.col("price").isNull()).alias("missing"),
+        F.coalesce(F.sum(F.col("price") * F.col("quantity")), F.lit(0)).cast("long").alias("total_cents"), F.count_if(F.col("price").isNull()).alias("missing"), *lacking,
     )
     order = Window.orderBy(F.col("missing"), F.col("total_cents"), F.col("place"))
-    return total.withColumn("rank", F.row_number().over(order)).select("store_id", "total_cents", "missing", (F.col("missing") == 0).alias("complete"), "rank")
+    listed = ["missing_ids"] if list_missing else []
+    return total.withColumn("rank", F.row_number().over(order)).select("store_id", "total_cents", "missing", (F.col("missing") == 0).alias("complete"), "rank", *listed)
+
+
+def basket_verdict(compared: DataFrame) -> DataFrame:
+    """The stores with the cheapest complete basket, and what it saves against the next dearer one (null without one)."""
+    full = compared.where("complete")
+    least = full.agg(F.min("total_cents").alias("cheapest"))
+    both = full.join(F.broadcast(least))  # one row
+    return both.groupBy("cheapest").agg(
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("total_cents") == F.col("cheapest"), F.col("store_id")))), ",").alias("stores"),
+        (F.min(F.when(F.col("total_cents") > F.col("cheapest"), F.col("total_cents"))) - F.first("cheapest")).alias("saving_cents"),
+    )
+
+
+def strict_common(current: DataFrame, stores: tuple[str, ...]) -> DataFrame:
+    """Products that every one of the stores prices."""
+    wide = by_product(current, stores)
+    test = F.lit(True)
+    for s in stores:
+        test &= F.col(s).isNotNull()
+    return wide.where(test)
+
+
+def category_breakdown(current: DataFrame, products: DataFrame, stores: tuple[str, ...]) -> DataFrame:
+    """Of each category over the strict common products their number, each store's total and the cheapest store."""
+    common = strict_common(current, stores).join(products.select("product_id", "category"), "product_id")
+    out = common.groupBy("category").agg(F.count("*").alias("products"), *[F.sum(s).alias(s) for s in stores])
+    first = F.array_min(F.array(*[F.struct(F.col(s).alias("t"), F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in enumerate(stores)]))
+    return out.withColumn("leader", first["s"])
+
+
+def snapshot_baskets(current: DataFrame, stores: tuple[str, ...]) -> DataFrame:
+    """Each store's total over the strict common products, its rank, and the most that a choice of store saves."""
+    total = strict_common(current, stores).agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in stores])
+    rows = F.array(*[F.struct(F.col(s).alias("total_cents"), F.lit(i).alias("place"), F.lit(s).alias("store_id")) for i, s in enumerate(stores)])
+    ranked = total.select(F.posexplode(F.sort_array(rows)).alias("at", "x"), (F.greatest(*stores) - F.least(*stores)).alias("saving_cents"))
+    return ranked.select("x.store_id", "x.total_cents", (F.col("at") + 1).alias("rank"), "saving_cents")
+
+
+def least_pair(pairs: DataFrame) -> DataFrame:
+    """The fewest products that any pair of stores shares."""
+    return pairs.agg(F.min("shared").alias("least_shared"))
+
+
+def dominant_basis(current: DataFrame) -> DataFrame:
+    """Of each product its eligible stores by basis; the basis of most stores leads, ties to the first in order."""
+    per = current.where("eligible").groupBy("product_id", "price_basis").agg(F.array_sort(F.collect_set("store_id")).alias("stores"))
+    best = per.groupBy("product_id").agg(F.min(F.struct((-F.size("stores")).alias("n"), "price_basis", "stores")).alias("b"), F.count("*").alias("bases"))
+    return best.select("product_id", F.col("b.price_basis").alias("basis"), F.array_join("b.stores", ",").alias("stores"), "bases")
+
+
+def category_duel(wide: DataFrame, products: DataFrame, ours: str, theirs: str) -> DataFrame:
+    """Of each category the totals of two stores over the products both price, wins, ties and the difference in percent."""
+    both = wide.where(F.col(ours).isNotNull() & F.col(theirs).isNotNull()).join(products.select("product_id", "category"), "product_id")
+    a, b = F.col(ours), F.col(theirs)
+    out = both.groupBy("category").agg(
+        F.count("*").alias("products"), F.sum(a).alias("total_a"), F.sum(b).alias("total_b"), F.count_if(a < b).alias("wins_a"), F.count_if(b < a).alias("wins_b"), F.count_if(a == b).alias("ties"),
+    )
+    gap = F.col("total_b") - F.col("total_a")
+    return out.select("*", gap.alias("difference_cents"), (F.floor(gap / F.col("total_b") * 1000 + 0.5) / 10).alias("difference_percent"), F.when(gap > 0, ours).when(gap < 0, theirs).otherwise("Tie").alias("winner"))
+
+
+def assert_one_basis(obs: DataFrame) -> None:
+    """Stops a load whose eligible rows mix bases within a product."""
+    if not mixed_basis(obs).isEmpty():
+        raise ValueError("eligible observations of a product mix price bases")
 
 
 def mixed_basis(obs: DataFrame) -> DataFrame:

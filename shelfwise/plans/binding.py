@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if its files are too few to give each one work; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per price observation. Line items are the large side; suppliers' stores are joined to them."""
     line = table(spark, sf_dir, "lineitem").select(

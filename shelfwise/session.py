@@ -1,4 +1,8 @@
-"""Session settings that suit the engine; a cluster's own settings win."""
+"""Session settings that suit the engine; a cluster's own settings win.
+
+The text operators lower two more in the session they run in (``llm.common.bound_batches``): the rows
+and bytes of an Arrow batch, which stay lowered for its later queries.
+"""
 
 from __future__ import annotations
 

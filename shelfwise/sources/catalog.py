@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,33 +54,122 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return out
 
 
+#: Columns of the wide table before its stores', and what each store has.
+WIDE_FIXED = ("canonical_product_id", "product", "size", "category", "price_basis", "stores_available", "stores_comparable", "local_image", "source_image_url")
+WIDE_STORE = ("price", "original_price", "sale", "source", "price_basis", "comparison_eligible", "exclusion_reason", "catalog_url")
+
+
+def wide_products(products: DataFrame, current: DataFrame, stores: tuple[str, ...]) -> DataFrame:
+    """A row for each product, the fixed columns and eight for each store; null where a store lacks it.
+
+    ``products`` has the fixed columns but the two counts, ``current`` (product_id, store_id and
+    ``WIDE_STORE``), one row for each product and store.
+    """
+    of = F.struct(*WIDE_STORE)
+    pivoted = current.groupBy("product_id").agg(
+        F.count("*").alias("stores_available"), F.count_if("comparison_eligible").alias("stores_comparable"),
+        *[F.min(F.when(F.col("store_id") == s, of)).alias(f"_{i}") for i, s in enumerate(stores)],
+    )
+    joined = products.join(pivoted.withColumnRenamed("product_id", "canonical_product_id"), "canonical_product_id", "left").fillna(0, ["stores_available", "stores_comparable"])
+    return joined.select(*WIDE_FIXED, *[F.col(f"_{i}.{c}").alias(f"{s}_{c}") for i, s in enumerate(stores) for c in WIDE_STORE])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header, quotes where needed and doubled inside, nulls empty."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path)
 
 
-def write_chunks(df: DataFrame, path: str, order: list[str], rows: int = 5000) -> None:
-    """JSON files by chunk, numbered in the global order."""
+def write_chunks(df: DataFrame, path: str, order: list[str], rows: int = 5000, **metadata) -> list[str]:
+    """JSON files by chunk, numbered in the global order, and a manifest that lists them beside ``metadata``."""
     from ..operators.explore import chunks
 
-    chunks(df, order, rows).repartition("chunk").sortWithinPartitions("chunk", "position").write.mode("overwrite").partitionBy("chunk").json(path)
+    made = chunks(df, order, rows)
+    made.repartition("chunk").sortWithinPartitions("chunk", "position").write.mode("overwrite").partitionBy("chunk").json(path)
+    numbers = made.agg(F.max("chunk").alias("last")).first()["last"]
+    listed = [f"chunk={n}" for n in range(0 if numbers is None else numbers + 1)]
+    write_json(df.sparkSession, f"{path.rstrip('/')}/_manifest.json", {**metadata, "chunks": listed})
+    return listed
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """All chunks in the manifest's order."""
-    return spark.read.json(path).orderBy("chunk", "position").drop("chunk", "position")
+    read = spark.read.json(path)
+    return read.orderBy("chunk", "position").drop("chunk", "position")
+
+
+def _fs(spark: SparkSession, path: str):
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return to, to.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    """One small JSON document, indented, replaced in one step."""
+    _write_text(spark, path, json.dumps(value, indent=2, default=str) + "\n")
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    jvm = spark._jvm
+    staged, fs = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(staged, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    overwrite = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(overwrite, 1)
+    options[0] = overwrite.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(staged, jvm.org.apache.hadoop.fs.Path(path), options)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    to, fs = _fs(spark, path)
+    if not fs.exists(to):
+        return None
+    stream = fs.open(to)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Written beside the old table, which is replaced once the write has ended."""
+    """A new version beside the others, then a pointer to it is replaced in one step.
+
+    A crash leaves the old version current; the version before the last is kept for open readers.
+    """
     spark = df.sparkSession
-    jvm, staged, old = spark._jvm, f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__old"
-    df.write.mode("overwrite").parquet(staged)
-    conf = spark._jsc.hadoopConfiguration()
-    to = jvm.org.apache.hadoop.fs.Path
-    fs = to(path).getFileSystem(conf)
-    fs.delete(to(old), True)
-    if fs.exists(to(path)):
-        fs.rename(to(path), to(old))
-    fs.rename(to(staged), to(path))
-    fs.delete(to(old), True)
+    base, before = path.rstrip("/"), _read_text(df.sparkSession, f"{path.rstrip('/')}/_current")
+    version = f"v{int((before or 'v0-').split('-')[0][1:]) + 1}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{version}")
+    _write_text(spark, f"{base}/_current", version)
+    folder, fs = _fs(spark, base)
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v") and name not in (version, before):
+            fs.delete(status.getPath(), True)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """S3: the current version of a table that ``replace_table`` wrote; None before the first."""
+    version = _read_text(spark, f"{path.rstrip('/')}/_current")
+    return None if version is None else spark.read.parquet(f"{path.rstrip('/')}/{version}")
+
+
+def load_tables(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]]) -> None:
+    """The relational load: of rows that repeat a table's key one is kept, then each table is replaced.
+
+    ``keys`` names each table's key; rows of one key are told apart by all their columns, the last stays.
+    """
+    from ..operators.merge import keep_last
+
+    for name, df in tables.items():
+        rest = [c for c in df.columns if c not in keys[name]]
+        replace_table(keep_last(df, keys[name], *rest) if rest else df.distinct(), f"{path.rstrip('/')}/{name}")
+
+
+def run_stages(spark: SparkSession, path: str, stages: list[tuple[str, Callable[[SparkSession, dict[str, DataFrame]], DataFrame]]]) -> dict[str, DataFrame]:
+    """Stages in order, each given the tables of those before it and written before the next; an error ends the run."""
+    done: dict[str, DataFrame] = {}
+    for name, stage in stages:
+        replace_table(stage(spark, done), f"{path.rstrip('/')}/{name}")
+        done[name] = read_table(spark, f"{path.rstrip('/')}/{name}")
+    return done

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import keep_last, upsert
-from ..sources.catalog import replace_table
+from ..sources.catalog import read_table, replace_table
 
 
 def merge_stream(stream: DataFrame, path: str, keys: list[str], order: str, checkpoint: str) -> StreamingQuery:
-    """Merges what has arrived into the parquet table at ``path``, then ends.
+    """Merges what has arrived into the table at ``path`` (``read_table``), then ends.
 
     A replayed batch gives the same table: the last row of each key wins, empty values keep the old.
     """
@@ -18,8 +18,7 @@ def merge_stream(stream: DataFrame, path: str, keys: list[str], order: str, chec
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         new = keep_last(batch, keys, order)
-        to = spark._jvm.org.apache.hadoop.fs.Path(path)
-        exists = to.getFileSystem(spark._jsc.hadoopConfiguration()).exists(to)
-        replace_table(upsert(spark.read.parquet(path), new, keys) if exists else new, path)
+        old = read_table(spark, path)
+        replace_table(new if old is None else upsert(old, new, keys), path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
