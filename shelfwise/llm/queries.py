@@ -12,26 +12,32 @@ from .common import table
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: doc_id, n_shingles, component_id; nulls, ties and repeated rows as in ``ngram_join``."""
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose vec_id is divisible by 50 against all others; unusable vectors take no part (``integer_vectors``)."""
     return topk.top_k_embeddings(table(spark, sf_dir, "embeddings"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the row that stays of each group of equal texts (``exact_dedup``)."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: counts, digest and spans; the dictionary comes from the same documents (``secret_spans``)."""
     return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of all documents; nulls and ties as in ``best_fit_pack``."""
     return packing.best_fit_pack(table(spark, sf_dir, "documents"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with a score; those with crc32(doc_id) mod 3 = 1 never lend a label, a null id counts as not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = toxicity.train(docs, labels, training=~held_out)
@@ -40,14 +46,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: n_tokens, ids_crc32 and whether the ids decode to the text; null texts have no ids (``encode``)."""
     return pieces.digest(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes; nulls and ties as in ``shard_documents``."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the probe -1, read back from their formatted texts (``format_conversations``, ``digest``)."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -55,6 +64,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as read back from the files of ids (``write_tokens``, ``read_tokens``)."""
     return token_binary.token_round_trip(table(spark, sf_dir, "documents"))
 
 

@@ -87,12 +87,11 @@ def feature_sets(texts: list[str], useful: np.ndarray | None = None) -> Iterator
 def fit(sets: list[np.ndarray], toxic: np.ndarray, steps: int = 150, penalty: float = 3e-4, rate: float = 2.0) -> tuple[np.ndarray, np.ndarray, float]:
     """Features, their weights (classifier weight times log-count ratio) and the bias.
 
-    Without both classes the weights are empty and the bias is the log odds of the class seen.
+    Without both classes nothing tells them apart: the weights are empty and the bias is zero.
     """
     y = np.asarray(toxic, dtype=np.float64)
-    odds = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     if len(y) == 0 or y.min() == y.max():
-        return np.empty(0, dtype=np.int64), np.empty(0), odds
+        return np.empty(0, dtype=np.int64), np.empty(0), 0.0
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
     doc = np.repeat(np.arange(len(sets)), size)
@@ -134,8 +133,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = FIT_ROWS_PER
 
     Label rows with a null id or label are left out; of several label rows of an id the highest label
     counts, of several documents of an id the one with the least features (as bytes); null texts count
-    as empty. The fit runs in one task on at most 2 * ``rows_per_class`` rows. Without usable labels
-    the model is empty and scores one half.
+    as empty. The fit runs in one task on at most 2 * ``rows_per_class`` rows. Without labels of both
+    classes the model is empty and scores one half.
     """
     bound_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
