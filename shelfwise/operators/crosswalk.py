@@ -54,12 +54,32 @@ def _sides(items: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
+def _keys(side: str, other: str, column: str) -> Column:
+    """Keys, within a dimension, one of which a record shares with each of like quantity that can pass the brand gate.
+
+    C18 lets a pair pass if the lead of one side is among the brand tokens of the other, if a side has
+    none (then a score above zero still asks for a shared token), or at a score of 0.9: then the side
+    with fewer tokens lacks at most a tenth of them, so one of any tenth and one of its tokens is shared.
+    """
+    brands, words = F.col(f"{column}.brands"), F.array_distinct(F.col(f"{column}.tokens"))
+    lead = F.slice(brands, 1, 1)
+    few = F.slice(F.transform(F.array_sort(F.transform(words, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda x: x["t"]), F.lit(1), F.floor(F.size(words) / 10).cast("int") + 1)
+    none = F.when(F.size(brands) == 0, words).otherwise(F.array().cast("array<string>"))
+
+    def tagged(tag: str, of: Column) -> Column:
+        return F.transform(of, lambda t: F.concat_ws("|", F.lit(tag), F.col(f"{column}.q.dimension"), t))
+
+    own = (("lead", lead), ("few", few), ("none", none))
+    theirs = (("lead", brands), ("few", words), ("none", words))
+    return F.array_distinct(F.concat(*[tagged(f"{side}-{n}", of) for n, of in own], *[tagged(f"{other}-{n}", of) for n, of in theirs]))
+
+
 def candidate_pools(items: DataFrame, records: DataFrame, queries: DataFrame) -> DataFrame:
     """(item, other, pool, l, r) of the first pool of each item that has any record.
 
     Pools in order: results of queries that targeted the item (``target_id``), else results of
     queries with the item's words, else records that were captured under these words, and if all of
-    these are empty, records of like quantity (J6). A pool that has records keeps the item from
+    these are empty, records of like quantity (J6) that can pass the brand gate (C18). A pool that has records keeps the item from
     later ones even if none of its quantities agree. ``queries`` has query, target_id and result_ids.
     """
     left, right = _sides(items, records)
@@ -76,9 +96,10 @@ def candidate_pools(items: DataFrame, records: DataFrame, queries: DataFrame) ->
     exact = chosen.unionByName(by_capture).join(right, "other").join(left, "item")
     known = exact.select("item").distinct()
     free = left.join(known, "item", "left_anti").where("l.q IS NOT NULL")
-    probe = free.select("item", "l", F.col("l.q.dimension").alias("dimension"), F.col("l.q.amount").alias("amount_l"))
-    held = right.where("r.q IS NOT NULL").select("other", "r", F.col("r.q.dimension").alias("dimension"), F.col("r.q.amount").alias("amount_r"))
-    near = matching.band_join(probe, held, "dimension", "amount").withColumn("pool", F.lit(3))
+    probe = free.select("item", F.explode(_keys("l", "r", "l")).alias("key"), F.col("l.q.amount").alias("amount_l"))
+    held = right.where("r.q IS NOT NULL").select("other", F.explode(_keys("r", "l", "r")).alias("key"), F.col("r.q.amount").alias("amount_r"))
+    near = matching.band_join(probe, held, "key", "amount").select("item", "other").distinct()
+    near = near.join(free, "item").join(right, "other").withColumn("pool", F.lit(3))
     both = exact.select("item", "other", "pool", "l", "r").unionByName(near.select("item", "other", "pool", "l", "r"))
     return both.where(units.quantities_agree(F.col("l.q"), F.col("r.q")))
 

@@ -296,6 +296,27 @@ def test_direct_crosswalk(spark):
     }
 
 
+def test_candidate_keys_lose_no_pair(spark):
+    """Every pair that passes the brand gate with a score above zero shares a key."""
+    import random
+
+    rng = random.Random(15)
+    word = lambda: rng.choice(("oat", "milk", "acme", "zed", "jam", "fig", "red", "blue", "corn", "soup"))
+    rows = [(i, [word() for _ in range(rng.choice((0, 1, 2, 4)))], [word() for _ in range(rng.randint(1, 13))]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, brands array<string>, tokens array<string>").withColumn("q", F.struct(F.lit("mass").alias("dimension")))
+    made = df.select("id", F.struct("brands", "tokens", "q").alias("x"))
+    left, right = ({r["id"]: set(r["k"]) for r in made.select("id", crosswalk._keys(a, b, "x").alias("k")).collect()} for a, b in (("l", "r"), ("r", "l")))
+    passed = 0
+    for i, a, x in rows:
+        for j, b, y in rows:
+            shared, least = len(set(x) & set(y)), min(len(set(x)), len(set(y)))
+            score = 0.72 * shared / least + 0.28 * shared / len(set(x) | set(y))
+            if score >= 0.48 and (not a or not b or a[0] in b or b[0] in a or score >= 0.9):
+                passed += 1
+                assert left[i] & right[j], (a, x, b, y)
+    assert passed > 100
+
+
 def test_alias_pairs_and_second_pass(spark):
     rows = [item("1", "Acme Oat Milk", "32 fl oz", store="a"), item("2", "Acme Oat Milk", "32 fl oz", store="b"), item("3", "Acme Oat Milk Vanilla", "32 fl oz", store="b"), item("4", "Acme Jam Fig", "8 oz", store="a"), item("5", "Acme Jam Fig", "8 oz", 9.0, store="b")]
     pairs = crosswalk.alias_pairs(crosswalk.describe_aliases(spark.createDataFrame(rows, ITEM)))
