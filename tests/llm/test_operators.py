@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, common, exact_dedup, ngram_join, packing, pieces, secrets, sharding, token_binary, topk, toxicity
+from shelfwise.llm import chat_format, common, exact_dedup, ngram_join, packing, pieces, queries, secrets, sharding, token_binary, topk, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -587,3 +587,43 @@ def test_pipeline(spark):
         if name == "secret_scans":
             assert ids == set(rows) and all(r["text"] == secrets.redact_text(rows[r["doc_id"]]) for r in kept.collect())
     assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, kept, folder).collect()} == ids
+
+
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard_join", "op2_exact_topk", "op3_exact_dedup", "op9_chat_format"])
+def test_registered_query_against_sql(spark, name):
+    import duckdb
+
+    folder, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    want = con.sql(queries.oracle_sql()[name])
+    got = queries.queries()[name](spark, folder).select(*want.columns).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_registered_queries_keep_every_document(spark):
+    """The contract's columns, one row for each document (or its pieces), held against plain restatements."""
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    run = {n: queries.queries()[n](spark, folder) for n in ("op4_secret_scan", "op5_best_fit_packing", "op6_toxicity", "op7_sentencepiece", "op8_sharding", "op10_token_binary")}
+    rows = {n: q.collect() for n, q in run.items()}
+    for n in ("op4_secret_scan", "op6_toxicity", "op7_sentencepiece", "op8_sharding", "op10_token_binary"):
+        assert sorted(r["doc_id"] for r in rows[n]) == sorted(texts), n
+    tokenizer = Tokenizer.from_file(token_binary.default_tokenizer())
+    size = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts.items()}
+    total = {}
+    for r in rows["op5_best_fit_packing"]:
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["size"]
+    assert total == size == {r["doc_id"]: r["n_tokens"] for r in rows["op10_token_binary"]}
+    for r in rows["op4_secret_scan"]:
+        base = [s for s in secrets.scan_text(texts[r["doc_id"]], secrets.ranked(["never"])) if s[0] != "guess"]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b, *_ in base).encode()).hexdigest()
+    for r in rows["op6_toxicity"]:
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+    bytes_ = [0] * 8
+    for r in rows["op8_sharding"]:
+        assert r["law"] == "bytes" and r["grown_shard"] is None and r["size"] == len(texts[r["doc_id"]].encode()) + 1
+        bytes_[r["shard"]] += r["size"]
+    assert max(bytes_) - min(bytes_) <= max(r["size"] for r in rows["op8_sharding"])
