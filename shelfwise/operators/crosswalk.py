@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import commodities, units, variants
 from ..functions.claims import about_meat, claims, cross_source_compatible, house_brand, leftover_numbers, same_source_compatible
+from ..functions.regex import once
 from ..functions.similarity import token_score
-from ..functions.text import brand_key, brand_tokens, evidence, query_key, search_query, tokens, tokens_alias, url_hints
+from ..functions.text import GENERIC_BRANDS, brand_key, brand_tokens, evidence, query_key, search_query, tokens, tokens_alias, tokens_whole, url_hints
 from . import matching
 
 
@@ -21,8 +22,11 @@ def described(items: DataFrame, quantity, words=tokens, with_qualifier: bool = T
     text = [F.coalesce(c("name"), empty), F.coalesce(c("size"), empty), url_hints(c("url")), *([F.coalesce(c("qualifier"), empty)] if with_qualifier else [])]
     shown = evidence(c("name"), c("name"), c("qualifier"))
     rec = commodities.record(c("name"), c("size"), c("category"), c("price_basis"), c("qualifier"), c("url"), c("eligible"))
+    # U16: one store's titles are held against its size field
+    both = F.struct(quantity(c("name")).alias("title"), quantity(c("size")).alias("size"))
+    either = once(both, lambda q: units.arbitrate(c("store_id"), q["title"], q["size"])) if with_qualifier else quantity(F.coalesce(F.nullif(c("size"), empty), c("name")))
     return items.select(
-        "*", quantity(F.coalesce(F.nullif(c("size"), empty), c("name"))).alias("q"), words(c("name")).alias("tokens"), brand_tokens(c("name")).alias("brands"),
+        "*", either.alias("q"), words(c("name")).alias("tokens"), brand_tokens(c("name")).alias("brands"),
         claims(shown).alias("claims"), about_meat(shown).alias("meat"), leftover_numbers(c("name")).alias("numbers"), variants.features(F.concat_ws(" ", *text)).alias("variant"),
         commodities.loose(rec).alias("loose"), house_brand(c("source"), c("brand"), c("name")).alias("house"), query_key(search_query(c("name"), c("size"))).alias("query"),
     )
@@ -48,6 +52,13 @@ def brands_agree(left: Column, right: Column, score: Column) -> Column:
     return a.isNull() | b.isNull() | F.coalesce(F.array_contains(right, a), F.lit(False)) | F.coalesce(F.array_contains(left, b), F.lit(False)) | (score >= 0.9)
 
 
+def brand_named(brand: Column, name: Column, title: Column) -> Column:
+    """C18 where one catalog has a brand field: a name has all its words, or without one the first word of the title that tells a brand."""
+    of, words = tokens_whole(brand), tokens_whole(name)
+    lead = F.get(F.filter(tokens_whole(title), lambda t: ~t.isin(*GENERIC_BRANDS)), F.lit(0))
+    return F.when(F.size(of) > 0, F.forall(of, lambda t: F.array_contains(words, t))).otherwise(F.coalesce(F.array_contains(words, lead), F.lit(False)))
+
+
 def _sides(items: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     left = items.select(F.col("id").alias("item"), F.struct(*[c for c in NARROW if c in items.columns]).alias("l"))
     right = records.select(F.col("id").alias("other"), F.struct(*[c for c in NARROW if c in records.columns]).alias("r"))
@@ -133,7 +144,7 @@ def direct_crosswalk(items: DataFrame, records: DataFrame, queries: DataFrame) -
     open_ = rest.where("NOT house AND q IS NOT NULL")
     pairs = candidate_pools(open_, records.where("NOT house AND q IS NOT NULL"), queries)
     pairs = pairs.withColumn("score", token_score(F.col("l.tokens"), F.col("r.tokens")))
-    listed, direct = F.col("l.price"), F.coalesce(units.positive(F.col("r.raw_price")), F.col("r.price"))
+    listed, direct = F.col("l.price"), units.package_price(F.col("r.raw_price"), F.col("r.price"))
     gates = (F.col("score") >= 0.48) & brands_agree(F.col("l.brands"), F.col("r.brands"), F.col("score")) & units.same_retailer_plausible(listed, direct)
     plain = matching.cut(pairs.where(gates).select("item", "other", "pool", "score", F.col("r.name").alias("title")))
     best = matching.cut(matching.best_and_margin(compatible(plain, items, records), "item", "title", "other"))

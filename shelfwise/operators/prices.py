@@ -26,12 +26,6 @@ def current_prices(obs: DataFrame) -> DataFrame:
     return best.select("product_id", "store_id", *[F.col(f"b.{c}").alias(c) for c in ("observed_at", "price_cents", "price_basis", "eligible", "on_sale")])
 
 
-def store_pairs(stores: DataFrame) -> DataFrame:
-    """Unordered pairs of the few stores."""
-    a, b = stores.select(F.col("store_id").alias("store_a")), stores.select(F.col("store_id").alias("store_b"))
-    return a.join(b, F.col("store_a") < F.col("store_b"))
-
-
 def by_product(current: DataFrame, stores: tuple[str, ...], any_price: bool = False) -> DataFrame:
     """One row per product with a cents column for each store; eligible prices only, or any."""
     return (current if any_price else current.where("eligible")).groupBy("product_id").agg(*[F.min(F.when(F.col("store_id") == s, F.col("price_cents"))).alias(s) for s in stores])

@@ -296,6 +296,12 @@ def test_direct_crosswalk(spark):
     }
 
 
+def test_brand_named(spark):
+    agree = lambda b, n, t="": one(spark, crosswalk.brand_named(F.lit(b), F.lit(n), F.lit(t)))
+    assert agree("Acme Farms", "Acme Farm Oats") and not agree("Acme Farms", "Acme Oats") and agree("", "Zed Oats", "Organic Zed Oats") and not agree("", "Oats", "Organic Zed Oats")
+    assert one(spark, claims.diet_label(F.lit("gluten-free"))) == "Gluten-free" and one(spark, claims.diet_label(F.lit("all"))) is None
+
+
 def test_candidate_keys_lose_no_pair(spark):
     """Every pair that passes the brand gate with a score above zero shares a key."""
     import random
