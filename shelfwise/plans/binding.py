@@ -13,9 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_out(df: DataFrame) -> DataFrame:
-    """``df`` dealt over all cores if its files are too few to give each one work; large inputs stay as they are."""
+    """A scan dealt over all cores if its files are too few to give each one work; large inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() * 2 <= cores else df
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .binding import table
+from .binding import spread_out, table
 
 _TITLES = ("chicken thighs", "banana", "orange soda", "apple bag", "cod fillet breaded", "beef steak", "lemon", "vegan beef", "jam", "celery root", "turkey", "ginger ale")
 _TITLE = "CASE l_partkey % 12 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_TITLES)) + " END"
@@ -38,7 +38,7 @@ DETAILS_SQL = DETAILS.format(listings=LISTINGS_SQL)
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(LISTINGS, lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part"))
+    return spark.sql(LISTINGS, lineitem=spread_out(table(spark, sf_dir, "lineitem")), part=table(spark, sf_dir, "part"))
 
 
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
