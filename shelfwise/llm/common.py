@@ -196,6 +196,27 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
+def same_spans(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> bool:
+    """Whether every span of ``raw`` from ``a`` on equals the one from ``b`` on, byte by byte, ``size`` bytes each."""
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    lanes = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    differ = a != b
+    for i in np.flatnonzero(differ & (size > _LONG_SPAN)):
+        if not np.array_equal(raw[a[i] : a[i] + size[i]], raw[b[i] : b[i] + size[i]]):
+            return False
+    live = differ & (size > 0) & (size <= _LONG_SPAN)
+    a, b, left = a[live], b[live], size[live]
+    while len(a):
+        gap = lanes[a] ^ lanes[b]
+        short = left < 8
+        gap[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        if gap.any():
+            return False
+        more = left > 8
+        a, b, left = a[more] + 8, b[more] + 8, left[more] - 8
+    return True
+
+
 _STEP = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import bound_batches, buckets_for, materialize, new_path, span_hashes, tidy
+from .common import bound_batches, buckets_for, materialize, new_path, same_spans, span_hashes, tidy
 
 MAGIC = b"SWIDS001"
 BLOCK_IDS = 4096
@@ -35,10 +35,10 @@ END_ID = 2
 FILE_BYTES = 32 << 20
 #: Files whose starts are summed together.
 LOT = 1024
-#: Bytes of text that are encoded together.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text that are encoded together, where ids are written and where they are only counted.
+CHUNK_BYTES, COUNT_BYTES = 2 << 20, 1 << 20
 #: Remembered segments of a worker; bounds its memory, not what is encoded.
-CACHE_SEGMENTS = 200_000
+CACHE_SEGMENTS, COUNT_SEGMENTS = 800_000, 300_000
 
 
 def default_tokenizer() -> str:
@@ -176,7 +176,8 @@ class SegmentEncoder:
     segments of a call are found by hashes and compared byte by byte, remembered ones are found by the bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE_SEGMENTS):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -207,9 +208,8 @@ class SegmentEncoder:
         starts, ends = edges[:-1], edges[1:]
         _, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         length = ends - starts
-        # segments lie end to end; each is held against the first of its hash, byte by byte
-        twin = np.repeat(starts[first[which]] - starts, length) + np.arange(len(raw))
-        if (length != length[first[which]]).any() or (raw != raw[np.minimum(twin, len(raw) - 1)]).any():
+        # each segment is held against the first of its hash, byte by byte
+        if (length != length[first[which]]).any() or not same_spans(raw, starts, starts[first[which]], length):
             every = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
             number: dict[bytes, int] = {}
             which = np.array([number.setdefault(p, len(number)) for p in every], dtype=np.int64)
@@ -221,7 +221,7 @@ class SegmentEncoder:
             encoded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
             known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, encoded))
         ids = list(map(known.__getitem__, parts))
-        for p in new[max(0, CACHE_SEGMENTS - len(known) + len(new)) :]:
+        for p in new[max(0, self.most - len(known) + len(new)) :]:
             del known[p]
         flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
         length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
@@ -234,9 +234,9 @@ class SegmentEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str) -> SegmentEncoder:
+def encoder_of(path: str, most: int = CACHE_SEGMENTS) -> SegmentEncoder:
     """One encoder for all tasks of a worker."""
-    return SegmentEncoder(path)
+    return SegmentEncoder(path, most)
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -340,12 +340,12 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str =
     others = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        encoder = encoder_of(path, COUNT_SEGMENTS)
         for batch in batches:
             texts, at, counts = batch.column(len(others)), 0, []
             while at < batch.num_rows:
                 some, size = [], 0
-                while at + len(some) < batch.num_rows and size < CHUNK_BYTES:
+                while at + len(some) < batch.num_rows and size < COUNT_BYTES:
                     some.append(texts[at + len(some)].as_buffer() or b"")
                     size += len(some[-1])
                 counts.append(encoder.encode(some)[1])

@@ -118,6 +118,19 @@ def test_signatures_never_miss():
                 assert set(keys[whose == 0].tolist()) & set(keys[whose == 1].tolist()), (n, gone, more)
 
 
+def test_same_spans():
+    rng = random.Random(6)
+    for _ in range(400):
+        n = rng.choice((0, 1, 7, 8, 9, 16, 30, 600))
+        one = bytes(rng.choice(b"ab") for _ in range(n))
+        other = bytearray(one)
+        if n and rng.random() < 0.5:
+            other[rng.randrange(n)] ^= 1
+        raw = np.frombuffer(one + b"x" + bytes(other) + b"y", dtype=np.uint8)
+        same = common.same_spans(raw, np.array([0, 0]), np.array([0, n + 1]), np.array([n, n]))
+        assert same == (one == bytes(other))
+
+
 def test_recursive_cells_are_exact():
     """Components of near rows of one region against all pairs."""
     rng, radius = np.random.default_rng(2), ngram_join.Radius(80)
