@@ -24,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterator, Mapping
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +63,8 @@ WORDS = (
 CORPUS_WORDS, WORD_LETTERS = 20_000, (4, 24)
 #: Distinct words that a task counts before it passes them on.
 COUNTED_WORDS = 200_000
-#: Values longer than this look for repeats among the last ``NEAR_REPEATS`` places of a character only.
-LONG_VALUE, NEAR_REPEATS = 1024, 64
+#: Up to this length plain loops find a value's repetitions faster than arrays do; both find all of them.
+SHORT_VALUE = 64
 LEET = str.maketrans("4@310$57", "aaeiosst")
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 NEXT = {(a, b) for row in WALKS for p in (row, row[::-1]) for a, b in zip(p, p[1:])}
@@ -120,13 +121,61 @@ class _Starts:
         return best[kept[-1]] + math.log10(end - kept[-1]), kept[-1]
 
 
+def _repetitions(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, period) of every maximal repetition: two periods or more (three characters of period 1),
+    by the least period, that no neighbour prolongs. Each square of a primitive unit lies in one of them."""
+    n = len(text)
+    least: dict[tuple[int, int], int] = {}
+    if n <= SHORT_VALUE:
+        for p in range(1, n // 2 + 1):
+            i = p
+            while i < n:
+                j = i
+                while j < n and text[j] == text[j - p]:
+                    j += 1
+                if j - i >= max(p, 2):
+                    least.setdefault((i - p, j), p)
+                i = j + 1
+        return [(a, b, p) for (a, b), p in least.items()]
+    # names[k][i]: equal numbers for equal stretches of 2**k characters from i
+    names = [np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)[1].astype(np.int64)]
+    same = np.flatnonzero(np.diff(np.concatenate([[0], (names[0][1:] == names[0][:-1]).view(np.int8), [0]])))
+    least.update({(int(a), int(b) + 1): 1 for a, b in zip(same[::2], same[1::2]) if b - a >= 2})
+    w = 1
+    while 4 * w <= n:
+        # Of periods 2w to 4w - 1, p equal neighbours hold a stretch of w from a multiple of w, equal to the one p on.
+        name = names[-1]
+        tail = np.concatenate([name[2 * w :], np.full(2 * w + len(name), -1)])
+        blocks = name[::w]
+        equal = np.lib.stride_tricks.sliding_window_view(tail, 2 * w)[:: w][: len(blocks)] == blocks[:, None]
+        edge = np.zeros((1, 2 * w), bool)
+        first = (equal & ~np.concatenate([edge, equal[:-1]])).T
+        last = (equal & ~np.concatenate([equal[1:], edge])).T
+        period, low = np.nonzero(first)
+        period, low, high = period + 2 * w, low * w, (np.nonzero(last)[1] + 1) * w
+        for k in range(len(names) - 2, -1, -1):
+            step, short = 1 << k, names[k]
+            more = low >= step
+            more[more] = short[low[more] - step] == short[low[more] - step + period[more]]
+            low = low - step * more
+            more = high + period + step <= n
+            more[more] = short[high[more]] == short[high[more] + period[more]]
+            high = high + step * more
+        whole = high - low >= period
+        for a, b, p in zip(low[whole].tolist(), (high + period)[whole].tolist(), period[whole].tolist()):
+            least[a, b] = min(p, least.get((a, b), p))
+        names.append(np.unique(name[:-w] * (int(name.max()) + 1) + name[w:], return_inverse=True)[1])
+        w *= 2
+    return [(a, b, p) for (a, b), p in least.items()]
+
+
 def log_guesses(value: str, enough: float = math.inf, ranks: Mapping[str, float] = RANK, units: dict[str, float] | None = None) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` costs; '' costs 0.
 
     Segments are words of ``ranks``, dates, keyboard walks of three keys or more, repeats (of one
     character three times or more, of a longer unit twice or more; the unit costs its own cheapest
-    segmentation) and brute-force spans. Exact up to ``enough``: once every open segmentation costs
-    that much, the search ends and the least of them, a lower bound, is returned.
+    segmentation) and brute-force spans. Exact up to ``enough``, at any length: once every open
+    segmentation costs that much, the search ends and the least of them, a lower bound, is returned.
     """
     n, low = len(value), value.lower()
     if len(low) != n:
@@ -136,11 +185,17 @@ def log_guesses(value: str, enough: float = math.inf, ranks: Mapping[str, float]
     best = [0.0] + [math.inf] * n
     brute = [math.inf] * (n + 1)  # cheapest way that ends inside a brute-force span
     walk, walks = 1, _Starts()
-    seen: dict[str, list[int]] = {}
-    runs: dict[int, int] = {}  # runs[p]: how many characters up to here equal the one p before
+    looked, ask = 0, LOOK_BACK  # how far repetitions are known; where the end of the search is tried next
+    coming: list[tuple[int, int, int, int]] = []  # (first end, period, start, last end), the last first
+    going: list[tuple[int, int, int]] = []  # (period, start, last end) of the repetitions around here
     repeats: dict[tuple[int, int], _Starts] = {}
     for end in range(1, n + 1):
         i = end - 1
+        if end > looked:
+            looked = min(n, max(SHORT_VALUE, 2 * looked))
+            found_all = [(a + max(2 * p, 3), p, a, b) for a, b, p in _repetitions(low[:looked])]
+            coming = sorted((x for x in found_all if x[0] >= end), reverse=True)
+            going = [x[1:] for x in found_all if x[0] < end <= x[3]]
         brute[end] = min(brute[i], best[i] + LOG_SEGMENT) + _char_cost(value[i])
         found = brute[end]
         for size in range(3, min(WORD_LETTERS[1], end) + 1):
@@ -161,31 +216,33 @@ def log_guesses(value: str, enough: float = math.inf, ranks: Mapping[str, float]
         if walk >= 3:
             walks.add(end - 3)
             found = min(found, walks.least(best, end)[0] + LOG_SEGMENT + LOG_KEYS)
-        before = seen.setdefault(low[i], [])
-        runs = {i - j: runs.get(i - j, 0) + 1 for j in (before if n <= LONG_VALUE else before[-NEAR_REPEATS:])}
-        before.append(i)
-        units_of: list[int] = []
-        for p in sorted(p for p, run in runs.items() if run >= p):
-            run, least = runs[p], max(p, 2 if p == 1 else 0)
-            # a unit that repeats a shorter one is never cheaper than the shorter one
-            if run < least or any(p % q == 0 and runs[q] + q >= 2 * p for q in units_of):
-                continue
-            units_of.append(p)
-            if run < least + p or (p, end % p) not in repeats:  # the first such end of this residue in the run
+        if going:
+            going = [x for x in going if x[2] >= end]
+        while coming and coming[-1][0] == end:
+            going.append(coming.pop()[1:])
+        for p, start, _ in sorted(going):
+            least = max(p, 2 if p == 1 else 0)
+            if end - start - p < least + p:  # the first such end of this residue in the run
                 repeats[p, end % p] = _Starts()
             places = repeats[p, end % p]
             places.add(end - p - least)
             cost, a = places.least(best, end)
+            cost += LOG_SEGMENT - math.log10(p)
+            # a unit costs what it adds to the way up to it at least
+            if cost + best[a + p] - best[a] >= found:
+                continue
             unit = value[a : a + p]
             if unit not in units:
                 units[unit] = _char_cost(unit) if p == 1 else log_guesses(unit, enough, ranks, units)
-            found = min(found, cost - math.log10(p) + LOG_SEGMENT + units[unit])
+            found = min(found, cost + units[unit])
         best[end] = found
         # a walk or repeat that goes on may have started, or its unit ended, before the places looked at
-        if end >= LOOK_BACK and found >= enough and walk < LOOK_BACK and not any(run >= LOOK_BACK for run in runs.values()):
+        if end >= ask and found >= enough and walk < LOOK_BACK:
             least = min(best[end - LOOK_BACK : end + 1])
             if least >= enough:
-                return least
+                if low.find(low[end - LOOK_BACK : end], 0, end - 1) < 0:
+                    return least
+                ask = end + end // 8
     return best[n]
 
 

@@ -299,6 +299,30 @@ def test_guess_cost_is_minimal():
     assert secrets.log_guesses("correcthorse", ranks=words) < 6 < secrets.log_guesses("correcthorse")
 
 
+def test_repeats_of_long_values():
+    """Repetitions against plain search, by loops and by arrays, and one cost rule at any length."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (5, 30, 64, 65, 130, 301) for letters in ("a", "ab", "abc")]
+    texts += [("ab" * 20 + "c") * 9, "a" * 100 + "b" + "a" * 100, ("abcab" * 13 + "x") * 4, "".join(rng.choice("ab") for _ in range(40)) * 3]
+    for t in texts:
+        want = {}
+        for p in range(1, len(t) // 2 + 1):
+            same = "".join("01"[t[i] == t[i - p]] for i in range(p, len(t)))
+            for m in re.finditer("1+", same):
+                if len(m[0]) >= max(p, 2):
+                    want.setdefault((m.start(), m.end() + p), p)
+        assert sorted(secrets._repetitions(t)) == sorted((a, b, p) for (a, b), p in want.items()), t
+    # both sides of the 1,024 characters where repeats used to be looked for in fewer places
+    unit = "y" * 100 + "7"
+    costs = [secrets.log_guesses(unit * k) for k in (2, 9, 10, 11, 30, 300)]
+    once = secrets.log_guesses(unit)
+    assert costs == pytest.approx([once + secrets.LOG_SEGMENT + math.log10(k) for k in (2, 9, 10, 11, 30, 300)])
+    for k in (9, 11, 300):
+        assert secrets.scan_text(f"pwd='{unit * k}'") == []
+    assert [s[0] for s in secrets.scan_text(f"pwd='{unit * 11}xK9#mQ2$vL7!'")] == ["guess"]
+
+
+
 def test_corpus_words(spark):
     rows = [(1, "apple banana apple, Apple"), (2, None), (3, "banana password: qzvxjkwpmbtrlf"), (4, "password: qzvxjkwpmbtrlf")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
