@@ -183,9 +183,8 @@ def join_filters(spark, d):
 SELECT l.k AS left_id, r.k AS right_id FROM x l JOIN x r ON l.b = r.b AND l.t = r.t AND l.k < r.k AND abs(l.a - r.a) <= greatest(0.08::DOUBLE, least(l.a, r.a) * 0.025::DOUBLE) WHERE l.a > 0 AND r.a > 0""")
 def band_join_all(spark, d):
     """All pairs of parts of one brand and type within the operator's own tolerance"""
-    part = table(spark, d, "part").select("p_partkey", F.struct("p_brand", "p_type").alias("kind"), (F.col("p_retailprice") / 10).alias("a")).where("kind.p_brand IS NOT NULL AND kind.p_type IS NOT NULL")
-    left, right = part.toDF("left_id", "kind", "amount_l"), part.toDF("right_id", "kind", "amount_r")
-    return matching.band_join(left, right, "kind", "amount").where("left_id < right_id").select("left_id", "right_id")
+    part = spread_out(table(spark, d, "part")).select("p_partkey", "p_brand", "p_type", (F.col("p_retailprice") / 10).alias("a"))
+    return matching.band_pairs(part, ["p_brand", "p_type"], "p_partkey", "a")
 
 
 @query("""WITH x AS (SELECT p_partkey AS k, p_brand AS b, p_type AS t, floor(p_size * 20 + 0.5) / 20 AS q FROM part)

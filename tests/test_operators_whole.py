@@ -64,3 +64,15 @@ def test_basket_takes_every_product(spark):
         have = [p for p in basket if (p, r["store_id"]) in prices]
         assert r["missing"] == len(basket) - len(have)
         assert r["total_cents"] == sum(prices[p, r["store_id"]] * basket[p] for p in have)
+
+
+def test_band_pairs_are_all_pairs_and_dealt(spark):
+    """Equal amounts, repeated and negative ids, null keys; no side is broadcast, however small its file."""
+    rng = random.Random(13)
+    rows = [(rng.randrange(-5, 90), rng.choice("kl") if i % 9 else None, rng.choice((0.03, 0.5, 3.2, 20.0, 300.0, -1.0, 0.0)) * rng.choice((1, 1.01, 1.02, 1.03))) for i in range(160)]
+    items = spark.createDataFrame(rows, "id long, kind string, a double")
+    near = lambda x, y: abs(x - y) <= max(0.08, min(x, y) * 0.025)
+    want = sorted((x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and x[1] == y[1] is not None and x[2] > 0 and y[2] > 0 and near(x[2], y[2]))
+    assert sorted(tuple(r) for r in matching.band_pairs(items, ["kind"], "id", "a").collect()) == want and len(want) > 300
+    plan = queries.queries()["band_join_all"](spark, FOLDER)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
