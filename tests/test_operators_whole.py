@@ -3,7 +3,7 @@
 import random
 
 from shelfwise import queries
-from shelfwise.operators import matching
+from shelfwise.operators import matching, similarity
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -76,3 +76,19 @@ def test_band_pairs_are_all_pairs_and_dealt(spark):
     assert sorted(tuple(r) for r in matching.band_pairs(items, ["kind"], "id", "a").collect()) == want and len(want) > 300
     plan = queries.queries()["band_join_all"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_similar_pairs_of_many_copies(spark):
+    """Word lists are scored once, whatever the number of items that have them."""
+    rng = random.Random(14)
+    names = ["red bolt", "bolt", "big red bolt", "big blue rod", "blue rod", "", "rod of red bolt ring"]
+    rows = [(rng.randrange(60), rng.choice(("b", None)) if i % 5 == 0 else "b", i % 2, " ".join(sorted(rng.choice(names).split()))) for i in range(150)]
+    items = spark.createDataFrame(rows, "id long, brand string, size int, w string")
+
+    def score(x, y):
+        x, y = set(x.split()), set(y.split())
+        return 0.72 * len(x & y) / min(len(x), len(y)) + 0.28 * len(x & y) / len(x | y) if x and y else 0
+
+    want = sorted((x[0], y[0], round(score(x[3], y[3]), 9)) for x in rows for y in rows if x[0] < y[0] and x[1] == y[1] is not None and x[2] == y[2] and score(x[3], y[3]) >= 0.48)
+    got = similarity.similar_pairs(items, ["brand", "size"], "id", "w", 0.48).collect()
+    assert sorted((r["a"], r["b"], round(r["score"], 9)) for r in got) == want and len(want) > 300
