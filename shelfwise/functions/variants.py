@@ -7,6 +7,9 @@ in the joined text of a pair just where the two sides differ.
 
 from __future__ import annotations
 
+from re import _constants as sre
+from re import _parser as sre_parser
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -342,6 +345,52 @@ def phrase_states(phrases) -> dict[str, str]:
     return dict(phrases) if isinstance(phrases, dict) else {p: p for p in phrases}
 
 
+def _language(tree) -> set[str]:
+    """All strings of a parsed pattern of literals, options and blanks; what may hold any text counts as a blank."""
+    out = {""}
+    for op, arg in tree:
+        if op is sre.LITERAL:
+            more = {chr(arg)}
+        elif op is sre.IN and all(o is sre.LITERAL for o, _ in arg):
+            more = {chr(c) for _, c in arg}
+        elif op is sre.AT:
+            more = {""}
+        elif op is sre.SUBPATTERN:
+            more = _language(arg[3])
+        elif op is sre.BRANCH:
+            more = set().union(*map(_language, arg[1]))
+        elif op is sre.MAX_REPEAT and arg[1] == 1:
+            more = {""} | _language(arg[2])
+        elif op is sre.MAX_REPEAT and arg[2][0] in ((sre.ANY, None), (sre.IN, [(sre.CATEGORY, sre.CATEGORY_SPACE)])):
+            more = {" "} if arg[0] else {"", " "}
+        else:
+            raise ValueError(f"a rule's pattern has {op}, whose words aren't known")
+        out = {a + b for a in out for b in more}
+    return out
+
+
+#: Every word that a rule can see; ``.*`` sees others too, but not which.
+VOCABULARY = frozenset(
+    word
+    for text in (*(p for rule in ONE_SIDED for p in rule if p), *(p for _, _, c, u in STATES for p in (c, u) if p), MULTIPACK)
+    for line in _language(sre_parser.parse(text))
+    for word in line.split()
+) | {word for phrases, _, _, _ in STATES for phrase in phrase_states(phrases) for word in phrase.split()}
+#: Stands for words outside the vocabulary.
+OTHER = "zzz"
+
+
+def gist(text: Column) -> Column:
+    """A variant text with each stretch of words that no rule knows replaced by ``OTHER``: no rule can tell the two apart."""
+    words = F.transform(F.split(text, " "), lambda w: F.when(w.isin(*sorted(VOCABULARY)) | (w == ""), w).otherwise(OTHER))
+    return F.get(F.transform(F.array(words), lambda ws: F.array_join(F.filter(ws, lambda w, i: (w != OTHER) | (i == 0) | (F.get(ws, i - 1) != OTHER)), " ")), F.lit(0))
+
+
+def kind(value: Column) -> Column:
+    """Struct of all that ``conflict`` can see of a raw text: its gist and its explicit pack."""
+    return F.struct(gist(variant_text(value)).alias("text"), explicit_pack(value).alias("pack"))
+
+
 def features(value: Column) -> Column:
     """Struct of a raw text's variant text, its explicit pack, the one-sided patterns it has and the states of each table."""
     pack = explicit_pack(value)
@@ -380,6 +429,11 @@ def conflict(left: Column, right: Column) -> Column:
     return packs_conflict(left["pack"], right["pack"], both) | word | F.exists(tables, differs)
 
 
+def features_of(made: Column) -> Column:
+    """``features`` of a ``kind``."""
+    return F.get(F.transform(F.array(made), _features), F.lit(0))
+
+
 def packs_conflict(left: Column, right: Column, both: Column) -> Column:
     """Unequal counts; with a count on one side only, a pack or a good that is sold in multipacks."""
     one_sided = left.isNull() != right.isNull()

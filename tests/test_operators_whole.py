@@ -2,8 +2,11 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from shelfwise import queries
-from shelfwise.operators import matching, similarity
+from shelfwise.functions import variants
+from shelfwise.operators import gate, matching, similarity
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -92,3 +95,20 @@ def test_similar_pairs_of_many_copies(spark):
     want = sorted((x[0], y[0], round(score(x[3], y[3]), 9)) for x in rows for y in rows if x[0] < y[0] and x[1] == y[1] is not None and x[2] == y[2] and score(x[3], y[3]) >= 0.48)
     got = similarity.similar_pairs(items, ["brand", "size"], "id", "w", 0.48).collect()
     assert sorted((r["a"], r["b"], round(r["score"], 9)) for r in got) == want and len(want) > 300
+
+
+def test_variant_pairs_by_kinds(spark, monkeypatch):
+    """Verdicts on kinds, as one table and block by block, are those on the whole texts, contexts that span a pair included."""
+    words = ["white", "beans", "deli", "meat sticks", "cheese", "jerky", "soda 6 pack", "soda", "shredded", "finely", "gear", "bolt plate", "milk", "oat", "peanut", "butter cup", "vanilla", "sticks beef", "12 ct", "chicken"]
+    rng = random.Random(16)
+    rows = [(i % 50, i % 2 or None, " ".join(rng.choice(words) for _ in range(rng.randint(0, 4)))) for i in range(90)]
+    items = spark.createDataFrame(rows, "id long, z int, v string")
+    whole = matching.cut(items.select("id", "z", variants.features(F.col("v")).alias("f")))
+    pairs = whole.toDF("left_id", "z", "x").join(whole.toDF("right_id", "z", "y"), "z").where("left_id < right_id")
+    want = sorted(tuple(r) for r in pairs.select("left_id", "right_id", ~variants.conflict(F.col("x"), F.col("y"))).collect())
+    assert len({x[2] for x in want}) == 2
+    for most in (4096, 3):
+        monkeypatch.setattr(gate, "KINDS", most)
+        assert sorted(tuple(r) for r in gate.variant_pairs(items, ["z"], "id", "v").collect()) == want
+    kinds = {r[0] for r in spark.createDataFrame([("gear of milk",), ("bolt, plate milk",), ("milk gear",)], "v string").select(variants.kind(F.col("v"))["text"]).collect()}
+    assert kinds == {"zzz milk", "milk zzz"}
