@@ -335,6 +335,22 @@ def test_alias_pairs_and_second_pass(spark):
     assert {r["item"] for r in crosswalk.targeted_acceptance(best).collect()} == {1, 3, 5}
 
 
+def copies(names, times, prefix, store, source):
+    """Each name as several items, some of another price."""
+    return [item(f"{prefix}{i}x{t}", name, "32 fl oz", 2.0 if t % 3 else 9.0, store=store, source=source) for i, name in enumerate(names) for t in range(times)]
+
+
+def test_copies_are_described_once(spark):
+    """Plain items, described by kinds, against items described one by one: copies, two prices, ids of both stores."""
+    names = ["Acme Oat Milk", "Acme Oat Milk Vanilla", "Acme Oat Milk Barista"]
+    rows = copies(names, 4, "i", "a", "instacart") + copies(names[:2], 4, "i", "b", "instacart") + copies(names[1:], 2, "k", "b", "instacart")
+    both = spark.createDataFrame(rows, ITEM)
+    one_by_one = crosswalk.alias_pairs(crosswalk.describe_aliases(both)).collect()
+    assert sorted(map(tuple, crosswalk.alias_pairs(both, crosswalk.describe_aliases).collect())) == sorted(map(tuple, one_by_one))
+    # of an own name and price the least id of the other store that isn't the item's own is the best
+    assert {(r["item"], r["other"]) for r in one_by_one} >= {("i0x1", "i0x2")} and len(one_by_one) < len(rows)
+
+
 def test_commodity_matches(spark):
     def staples(rows):
         df = spark.createDataFrame(rows, "id string, ordinal int, store_count int, title string, size string, category string")
