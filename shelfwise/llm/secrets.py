@@ -63,8 +63,6 @@ WORDS = (
 CORPUS_WORDS, WORD_LETTERS = 20_000, (4, 24)
 #: Distinct words that a task counts before it passes them on.
 COUNTED_WORDS = 200_000
-#: Up to this length plain loops find a value's repetitions faster than arrays do; both find all of them.
-SHORT_VALUE = 64
 LEET = str.maketrans("4@310$57", "aaeiosst")
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 NEXT = {(a, b) for row in WALKS for p in (row, row[::-1]) for a, b in zip(p, p[1:])}
@@ -126,17 +124,8 @@ def _repetitions(text: str) -> list[tuple[int, int, int]]:
     by the least period, that no neighbour prolongs. Each square of a primitive unit lies in one of them."""
     n = len(text)
     least: dict[tuple[int, int], int] = {}
-    if n <= SHORT_VALUE:
-        for p in range(1, n // 2 + 1):
-            i = p
-            while i < n:
-                j = i
-                while j < n and text[j] == text[j - p]:
-                    j += 1
-                if j - i >= max(p, 2):
-                    least.setdefault((i - p, j), p)
-                i = j + 1
-        return [(a, b, p) for (a, b), p in least.items()]
+    if n < 2:
+        return []
     # names[k][i]: equal numbers for equal stretches of 2**k characters from i
     names = [np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)[1].astype(np.int64)]
     same = np.flatnonzero(np.diff(np.concatenate([[0], (names[0][1:] == names[0][:-1]).view(np.int8), [0]])))
@@ -192,7 +181,7 @@ def log_guesses(value: str, enough: float = math.inf, ranks: Mapping[str, float]
     for end in range(1, n + 1):
         i = end - 1
         if end > looked:
-            looked = min(n, max(SHORT_VALUE, 2 * looked))
+            looked = min(n, max(LOOK_BACK, 2 * looked))
             found_all = [(a + max(2 * p, 3), p, a, b) for a, b, p in _repetitions(low[:looked])]
             coming = sorted((x for x in found_all if x[0] >= end), reverse=True)
             going = [x[1:] for x in found_all if x[0] < end <= x[3]]

@@ -672,3 +672,48 @@ def test_redaction_leaves_cheap_repeats_of_any_length():
     for k in (9, 11, 40):
         assert secrets.redact_text(f"pwd='{unit * k}' x") == f"pwd='{unit * k}' x"
         assert secrets.redact_text(f"pwd='{unit * k}xK9#mQ2$vL7!' x") == "pwd='[secret]' x"
+
+
+def test_redaction_costs_values_of_any_length_alike():
+    """Guess costs against the least of all segmentations into intervals, on both sides of 64 characters."""
+    step = secrets.LOG_SEGMENT
+
+    def plain(value):
+        n, known, spans = len(value), {}, {}
+
+        def span(a, b):
+            if (a, b) not in spans:
+                v = value[a:b]
+                costs = [sum(map(secrets._char_cost, v)), secrets.RANK.get(v, math.inf)]
+                if secrets.DATE.fullmatch(v):
+                    costs.append(secrets.LOG_YEARS if b - a == 4 else secrets.LOG_DAYS)
+                if b - a >= 3 and all((x, y) in secrets.NEXT for x, y in zip(v, v[1:])):
+                    costs.append(secrets.LOG_KEYS + math.log10(b - a))
+                for p in range(1, (b - a) // 2 + 1):
+                    if (b - a) % p == 0 and v[:-p] == v[p:] and b - a > 2:
+                        costs.append((secrets._char_cost(v[0]) if p == 1 else best(a, a + p)) + math.log10((b - a) // p))
+                spans[a, b] = min(costs)
+            return spans[a, b]
+
+        def best(a, b):
+            least = [0.0]
+            for end in range(a + 1, b + 1):
+                if (a, end) not in known:
+                    known[a, end] = min(least[start - a] + step + span(start, end) for start in range(a, end))
+                least.append(known[a, end])
+            return least[-1]
+
+        return best(0, n)
+
+    rng = random.Random(2)
+    parts = ["admin", "key", "1984", "qwe", "ab", "z", "!", "abcab", "xq"]
+    for n in (2, 3, 5, 20, 63, 64, 65, 66, 90, 129):
+        for _ in range(3):
+            value = ""
+            while len(value) < n:
+                value += "".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) * rng.choice((1, 2, 9, 20))
+            want = plain(value[:n])
+            assert secrets.log_guesses(value[:n]) == pytest.approx(want)
+            assert (secrets.log_guesses(value[:n], 10.0) >= 10) == (want >= 10)
+    # one way of finding repetitions, whatever the length
+    assert not hasattr(secrets, "SHORT_VALUE") and secrets._repetitions("") == secrets._repetitions("a") == []
