@@ -11,7 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import exact_dedup, ngram_join, packing, secrets, toxicity
-from shelfwise.llm.common import discard, materialize, table
+from shelfwise.llm.common import bound_batches, discard, materialize, shrink_heaps, table
+
+#: Bytes of text in an Arrow batch of a stage's Python workers.
+BATCH_BYTES = 1 << 20
+
+
+def _begin(spark: SparkSession) -> None:
+    """All stages run in the same executors, whose heap and workers together have one limit."""
+    bound_batches(spark, size=BATCH_BYTES)
+    shrink_heaps(spark)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The classifier is fitted on labelled rows of ``docs``; without any all documents stay.
     """
+    _begin(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, "_toxicity").where(f"_toxicity < {toxicity.THRESHOLD}").drop("_toxicity")
 
@@ -26,22 +36,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of equal texts (A-Z lower-cased) the row with the largest id, null ids being least;
     of rows that repeat id and text one. Null and empty texts are one group."""
+    _begin(spark)
     return exact_dedup.keep_exact(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the row with the smallest id, null ids being last; of rows with that
     id the one with the least text hash. Texts without words have no near copies and all stay."""
+    _begin(spark)
     return ngram_join.keep_one(docs)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secret values in their texts replaced by a mark; null texts stay null."""
+    _begin(spark)
     return secrets.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in a training sequence; an empty text has its end token alone."""
+    _begin(spark)
     return packing.best_fit_pack(docs)
 
 

@@ -64,6 +64,13 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Have executors collect their garbage and give freed heap back, so that a step's Python workers don't
+    stand beside the heap that the steps before have grown. One task for each core; an executor that gets none stays as it is."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).selectExpr("reflect('java.lang.System', 'gc') AS done").collect()
+
+
 #: From this size on an optimizer's estimate is its default for data that it can't size.
 _UNSIZED = 1 << 60
 #: Bytes of text that take one stored byte, about.

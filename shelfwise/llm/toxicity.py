@@ -23,8 +23,8 @@ FEATURES = 1 << 18
 ORDERS = (3, 4, 5)
 #: Most labelled rows of each class that the fit uses (those with the smallest hash of the id).
 FIT_ROWS_PER_CLASS = 1500
-#: Code points handled at once; whole texts are always scored.
-CHUNK = 1 << 20
+#: Code points of whole texts handled at once, each of which takes some 100 bytes meanwhile; a longer text is one chunk.
+CHUNK = 1 << 17
 THRESHOLD = 0.7
 _SEP = 32
 
@@ -92,40 +92,31 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, steps: int = 150, penalty: fl
     y = np.asarray(toxic, dtype=np.float64)
     if len(y) == 0 or y.min() == y.max():
         return np.empty(0, dtype=np.int64), np.empty(0), 0.0
-    size = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    doc = np.repeat(np.arange(len(sets)), size)
-    df = np.bincount(flat, minlength=FEATURES)
-    seen = np.flatnonzero(df >= 3)
-    position = np.full(FEATURES, -1, dtype=np.int64)
-    position[seen] = np.arange(len(seen))
-    flat = position[flat]
-    doc, flat = doc[flat >= 0], flat[flat >= 0].astype(np.int32)
-    p = np.bincount(flat, weights=y[doc], minlength=len(seen)) + 0.5
-    q = np.bincount(flat, weights=1 - y[doc], minlength=len(seen)) + 0.5
+    # a set's features are distinct, so it adds one to each
+    p, q = np.full(FEATURES, 0.5), np.full(FEATURES, 0.5)
+    for s, label in zip(sets, y):
+        (p if label else q)[s] += 1
     r = np.log(p / (y.sum() + 1)) - np.log(q / ((1 - y).sum() + 1))
     # features that say next to nothing only add noise from long texts
-    strong = np.abs(r) >= np.log(3)
-    strong &= (p + q) >= 6
-    slim = np.flatnonzero(strong)
-    position = np.full(len(seen), -1, dtype=np.int64)
-    position[slim] = np.arange(len(slim))
-    flat = position[flat]
-    doc, flat = doc[flat >= 0], flat[flat >= 0]
-    r = r[slim]
+    seen = np.flatnonzero((p + q - 1 >= 3) & (np.abs(r) >= np.log(3)) & (p + q >= 6))
+    r = r[seen]
+    position = np.full(FEATURES, -1, dtype=np.int32)
+    position[seen] = np.arange(len(seen))
+    kept = [at[at >= 0] for at in (position[s] for s in sets)]
+    flat, doc = np.concatenate(kept), np.repeat(np.arange(len(kept), dtype=np.int32), [len(at) for at in kept])
     x = r[flat]
     balance = np.where(y == 1, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
-    w, v, bias, bias_v = np.zeros(len(slim)), np.zeros(len(slim)), 0.0, 0.0
+    w, v, bias, bias_v = np.zeros(len(seen)), np.zeros(len(seen)), 0.0, 0.0
     scale = 1.0 / max(1.0, np.bincount(doc, weights=x * x, minlength=len(y)).max())
     for _ in range(steps):
         z = np.bincount(doc, weights=w[flat] * x, minlength=len(y)) + bias
         g = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        grad = np.bincount(flat, weights=x * g[doc], minlength=len(slim)) + penalty * scale * w
+        grad = np.bincount(flat, weights=x * g[doc], minlength=len(seen)) + penalty * scale * w
         v = 0.9 * v - rate * scale * 40 * grad
         w = w + v
         bias_v = 0.9 * bias_v - rate * 0.2 * g.sum()
         bias += bias_v
-    return seen[slim], w * r, float(bias)
+    return seen, w * r, float(bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = FIT_ROWS_PER_CLASS, training=None) -> tuple[np.ndarray, np.ndarray, float]:

@@ -717,3 +717,27 @@ def test_redaction_costs_values_of_any_length_alike():
             assert (secrets.log_guesses(value[:n], 10.0) >= 10) == (want >= 10)
     # one way of finding repetitions, whatever the length
     assert not hasattr(secrets, "SHORT_VALUE") and secrets._repetitions("") == secrets._repetitions("a") == []
+
+
+def test_toxicity_stage_memory_is_bounded(spark):
+    """Features of many texts take little memory at once, and a stage of the pipeline gets small batches."""
+    import tracemalloc
+
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(" abcdefgh") for _ in range(4000)) for _ in range(300)] + ["", "x" * 1000]
+    tracemalloc.start()
+    sizes = [len(s) for s in toxicity.feature_sets(texts)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6 and sizes == [len(next(toxicity.feature_sets([t]))) for t in texts]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    rows = spark.createDataFrame([(1, "a b c", "en", "s", 5), (2, None, "en", "s", 0)], DOCS)
+    try:
+        for stage in (corpus_pipeline.hide_secrets, corpus_pipeline.pack):
+            spark.conf.set(key, str(4 << 20))
+            assert stage(spark, rows, "").count() == 2 and int(spark.conf.get(key)) <= 1 << 20
+    finally:
+        spark.conf.set(key, before)
