@@ -351,6 +351,54 @@ def test_copies_are_described_once(spark):
     assert {(r["item"], r["other"]) for r in one_by_one} >= {("i0x1", "i0x2")} and len(one_by_one) < len(rows)
 
 
+def sized(names, sizes, prefix, store, source):
+    return [item(f"{prefix}{i}s{z}x{t}", name, f"{z} oz", (2.0, 2.0, 9.0)[t], store=store, source=source) for i, name in enumerate(names) for z in sizes for t in range(3)]
+
+
+def judgements(monkeypatch):
+    """Row counts of the tables that hold pairs with scores but neither items nor cells."""
+    seen, write = [], matching.cut
+
+    def cut(df):
+        out = write(df)
+        if "score" in df.columns and not {"own", "slot", "pool"} & set(df.columns):
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(matching, "cut", cut)
+    return seen
+
+
+def test_direct_names_are_judged_once(spark, monkeypatch):
+    """Names are paired once, whatever their sizes; items with one record of their best name find the runner-up under another name."""
+    names, sizes = ["Acme Oat Milk Barista", "Acme Oat Milk Barista Organic Blend", "Acme Black Beans", "Acme Black Beans Whole", "Acme Black Beans Dried"], range(20, 32)
+    items = spark.createDataFrame(sized(names[:3], sizes, "i", "m", "instacart"), ITEM)
+    rows = [r for r in sized(names, sizes, "d", "d", "d") if r[3] not in names[2:] or r[0].endswith("x0")]
+    records, queries = spark.createDataFrame(rows, ITEM), spark.createDataFrame([("acme black beans 20 oz", None, ["d2s20x0", "d4s20x0"])], "query string, target_id string, result_ids array<string>")
+    seen = judgements(monkeypatch)
+    got = sorted(map(str, crosswalk.direct_crosswalk(items, records, queries, crosswalk.describe_direct).collect()))
+    assert seen and max(seen) <= len(names) ** 2
+    described = [crosswalk.describe_direct(df) for df in (items, records)]
+    found = crosswalk.direct_crosswalk(*described, queries).collect()
+    assert got == sorted(map(str, found)) and {r["method"] for r in found} == {"exact_query_name_size", "normalized_name_size"}
+    beans = [r for r in found if r["item"] == "i2s25x0"]
+    assert beans[0]["other"] == "d2s25x0" and 0 < beans[0]["margin"] < 1  # not the score itself: there is a runner-up
+
+
+def test_signs_rule_out_no_score(spark):
+    import random
+
+    from shelfwise.functions.similarity import may_score, token_score, token_signs
+
+    rng = random.Random(17)
+    rows = [(i, [f"t{rng.randrange(rng.choice((5, 400)))}" for _ in range(rng.randint(0, 12))]) for i in range(150)]
+    made = spark.createDataFrame(rows, "i int, t array<string>").select("i", "t", token_signs(F.col("t")).alias("s"))
+    for least, share in ((0.48, 0.72), (0.82, 0.7)):
+        pairs = made.toDF("i", "t", "s").crossJoin(made.toDF("j", "u", "v")).select((token_score(F.col("t"), F.col("u"), share) >= least).alias("is"), may_score(F.col("s"), F.col("v"), least, share).alias("may"))
+        counts = {(r["is"], r["may"]): r["count"] for r in pairs.groupBy("is", "may").count().collect()}
+        assert (True, False) not in counts and counts[True, True] > 100 and counts[False, False] > 10000
+
+
 def test_commodity_matches(spark):
     def staples(rows):
         df = spark.createDataFrame(rows, "id string, ordinal int, store_count int, title string, size string, category string")
