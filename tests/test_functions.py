@@ -369,8 +369,18 @@ def judgements(monkeypatch):
     return seen
 
 
+def test_alias_names_are_judged_once(spark, monkeypatch):
+    """Names are paired once, whatever their sizes, with the pairs that items described one by one have."""
+    names, sizes = ["Acme Oat Milk", "Acme Oat Milk Vanilla", "Acme Black Beans"], range(20, 32)
+    both = spark.createDataFrame(sized(names, sizes, "i", "a", "instacart") + sized(names, sizes, "k", "b", "instacart"), ITEM)
+    seen = judgements(monkeypatch)
+    got = sorted(map(tuple, crosswalk.alias_pairs(both, crosswalk.describe_aliases).collect()))
+    assert seen and max(seen) <= len(names) ** 2
+    assert got == sorted(map(tuple, crosswalk.alias_pairs(crosswalk.describe_aliases(both)).collect())) and len(got) >= len(names) * len(sizes)
+
+
 def test_direct_names_are_judged_once(spark, monkeypatch):
-    """Names are paired once, whatever their sizes; items with one record of their best name find the runner-up under another name."""
+    """As above; items with one record of their best name find the runner-up under another name."""
     names, sizes = ["Acme Oat Milk Barista", "Acme Oat Milk Barista Organic Blend", "Acme Black Beans", "Acme Black Beans Whole", "Acme Black Beans Dried"], range(20, 32)
     items = spark.createDataFrame(sized(names[:3], sizes, "i", "m", "instacart"), ITEM)
     rows = [r for r in sized(names, sizes, "d", "d", "d") if r[3] not in names[2:] or r[0].endswith("x0")]
